@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -82,16 +82,23 @@ def read_landing(
     return df.select(*columns)
 
 
-def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the first when all other columns are sorted ascending."""
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the last one in the order of the other columns, nulls first.
+
+    So a known value beats a missing one. An aggregate combines in the map tasks, so
+    many copies of one key cost little.
+    """
     rest = [c for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*rest)
-    return df.withColumn("_place", F.row_number().over(window)).where("_place <= 1").drop("_place")
+    return (
+        df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+        .select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
+        .select(*df.columns)
+    )
 
 
 def read_venue_a(spark: SparkSession, folder: str) -> DataFrame:
     """Venues of the first source from many files, one row per place."""
-    return first_per_key(
+    return one_per_key(
         read_landing(spark, folder, schemas.VENUE_A_DDL, schemas.VENUE_A_NESTED), ["place_id"]
     )
 
