@@ -181,8 +181,7 @@ def match_for_update(venues_a: DataFrame, venues_b: DataFrame, restaurants: Data
         F.col("go_key").alias("place_id"), "key", F.col("ta_key").alias("_ta_key")
     )
     keyed = mutate.assign_keys(
-        matched.join(known.select("place_id", "_ta_key"), "place_id", "left").drop("_ta_key").distinct(),
-        known, ["place_id"], ["place_id", "ta_id", "distance_m", "ta_url"],
+        matched, known, ["place_id"], ["place_id", "ta_id", "distance_m", "ta_url"]
     )
     pair = known.select("key", "_ta_key")
     choice = F.struct(
