@@ -169,3 +169,684 @@ def visitors_by_city(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def visitors_by_age(spark: SparkSession, folder: str) -> DataFrame:
     return serving.visitors_by_age(_visitors(spark, folder))
+
+
+# Cleaning and normalising
+
+
+@query
+def explode_rank_keys(spark: SparkSession, folder: str) -> DataFrame:
+    parts = s.given(spark, folder, "part")
+    rows = explode_values(parts, text.split_values(F.col("p_name"), " "), ["p_partkey"], "word")
+    return keyed_values(rows, "word", "word_key")
+
+
+def _normalized(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    documents = s.given(spark, folder, "documents")
+    words = documents.select(F.col("doc_id").alias("id"), "lang", F.split("text", r"\s+").alias("tags"))
+    return normalize(words, "tags", "tag", "image")
+
+
+@query
+def normalize_parent(spark: SparkSession, folder: str) -> DataFrame:
+    return _normalized(spark, folder)[0]
+
+
+@query
+def normalize_values(spark: SparkSession, folder: str) -> DataFrame:
+    return _normalized(spark, folder)[1]
+
+
+@query
+def normalize_bridge(spark: SparkSession, folder: str) -> DataFrame:
+    return _normalized(spark, folder)[2]
+
+
+@query
+def image_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    plain = s.images(spark, folder).select("id", "file", "dishId")
+    return app_data.image_restaurants(plain, s.dishes(spark, folder))
+
+
+@query
+def rating_union(spark: SparkSession, folder: str) -> DataFrame:
+    customers = s.given(spark, folder, "customer")
+    nan = F.lit(float("nan"))
+    rated = customers.select(
+        F.col("c_custkey").alias("key"),
+        F.when(F.col("c_acctbal") < 0, nan).otherwise(F.col("c_acctbal")).alias("rating"),
+        F.when(F.col("c_nationkey") != 3, F.col("c_nationkey").cast("double")).alias("ta_rating"),
+    )
+    return warehouse.build_ratings(rated, F.lit("2024-03-05").cast("date"))
+
+
+@query
+def award_parse(spark: SparkSession, folder: str) -> DataFrame:
+    orders = s.given(spark, folder, "orders")
+    award = F.when(F.col("o_orderstatus") == "P", "Bib Gourmand").otherwise(F.col("o_orderpriority"))
+    award = F.when(F.col("o_orderstatus") == "O", F.regexp_extract("o_orderpriority", "[A-Z ]+", 0)).otherwise(award)
+    return orders.select("o_orderkey", text.award_stars(award).alias("stars"))
+
+
+@query
+def price_level(spark: SparkSession, folder: str) -> DataFrame:
+    venues = s.venues_b(spark, folder)
+    return venues.select("ta_url", text.price_level(F.col("ta_price")).alias("level"))
+
+
+@query
+def key_from_url(spark: SparkSession, folder: str) -> DataFrame:
+    pages = s.given(spark, folder, "pages")
+    url = F.when(
+        F.col("page_id") % 3 != 0, F.concat("url", F.lit("/R-g187497-d"), F.col("page_id"), F.lit("-n"))
+    ).otherwise(F.col("url"))
+    return pages.select("page_id", text.key_from_url(url).alias("key"))
+
+
+def _quoted(value: F.Column) -> F.Column:
+    """A value as a literal in single quotes."""
+    escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+    return F.concat(F.lit("'"), escaped, F.lit("'"))
+
+
+@query
+def parse_record_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document as a list of records, one per line of its text, parsed back."""
+    documents = s.given(spark, folder, "documents")
+    record = lambda line, at: F.concat(
+        F.lit("{'author': None, 'rating': "), (at % 5 + 1).cast("string"), F.lit(", 'text': "), _quoted(line),
+        F.lit(", 'time': "), (at + 1_600_000_000).cast("string"), F.lit(", 'translated': False}"),
+    )
+    written = F.concat(
+        F.lit("["), F.array_join(F.transform(F.split("text", "\n"), record), "\n "), F.lit("]")
+    )
+    details = documents.select(
+        F.concat(F.lit("g_"), F.col("doc_id")).alias("google_key"), written.alias("reviews"),
+        F.lit(None).cast("string").alias("opening_periods"),
+    )
+    return warehouse.parse_details(details)[0]
+
+
+@query
+def parse_nested_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Each part's opening periods as text, the second one without a closing time, parsed back."""
+    number = F.col("p_partkey")
+    hour = lambda start: F.format_string("%02d30", (number % 12 + start).cast("int"))
+    day = (F.col("p_size") % 7).cast("string")
+    written = F.concat(
+        F.lit("[{'close': {'day': "), day, F.lit(", 'time': '"), hour(12), F.lit("'}, 'open': {'day': "), day,
+        F.lit(", 'time': '"), hour(8), F.lit("'}}\n {'open': {'day': 0, 'time': '0000'}}]"),
+    )
+    details = s.given(spark, folder, "part").select(
+        F.concat(F.lit("g_"), number).alias("google_key"), F.lit(None).cast("string").alias("reviews"),
+        F.when(F.col("p_size") % 10 == 0, F.lit("[{'close': ")).otherwise(written).alias("opening_periods"),
+    )
+    return warehouse.parse_details(details)[1]
+
+
+@query
+def parse_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents taken as record lists: none is one, so all are rejects."""
+    details = s.given(spark, folder, "documents").select(
+        F.concat(F.lit("g_"), F.col("doc_id")).alias("google_key"), F.col("text").alias("reviews"),
+        F.lit(None).cast("string").alias("opening_periods"),
+    )
+    return warehouse.parse_details(details)[2]
+
+
+def _app_users(spark: SparkSession, folder: str) -> DataFrame:
+    customers = s.given(spark, folder, "customer")
+    key = F.col("c_custkey")
+    address = F.concat(F.lit("Street "), key, F.lit("\nCity "), F.col("c_nationkey"), F.lit(", 08"), key % 100)
+    return customers.select(
+        key.alias("id"),
+        F.concat(F.lit("user"), key).alias("username"),
+        F.col("c_name").alias("name"),
+        F.when(key % 11 == 0, F.lit("Street")).otherwise(address).alias("address"),
+        F.concat(key, F.lit("@mail.example")).alias("mail"),
+        F.when(key % 13 == 0, F.lit("unknown"))
+        .otherwise(F.concat(1940 + key % 60, F.lit("-"), key % 12 + 1, F.lit("-"), key % 28 + 1)).alias("birthdate"),
+        F.concat(F.lit("+34 "), key).alias("phone"),
+        (41.3 + key % 100 * 0.001).alias("homeLat"),
+        (2.1 + key % 90 * 0.001).alias("homeLng"),
+        F.col("c_mktsegment").alias("sex"),
+        F.lit("2024-01-01").alias("createDate"),
+        F.lit(None).cast("array<string>").alias("interestedCuisines"),
+        F.col("c_nationkey").cast("string").alias("nationality"),
+        F.col("c_mktsegment").alias("occupation"),
+    )
+
+
+@query
+def pii_split_users(spark: SparkSession, folder: str) -> DataFrame:
+    _, rest = app_data.split_users(_app_users(spark, folder), F.lit("2024-03-05").cast("date"))
+    return rest.select("id", "sex", "nationality", "occupation", "city", "zipcode", "age")
+
+
+@query
+def pii_split_personal(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(app_data.split_users(_app_users(spark, folder))[0], "homeLat", "homeLng")
+
+
+@query
+def column_label(spark: SparkSession, folder: str) -> DataFrame:
+    return s.given(spark, folder, "orders").select(
+        "o_orderkey", text.column_name(F.col("o_orderpriority")).alias("label")
+    )
+
+
+# Landing files and image paths
+
+
+@query
+def multi_file_unify(spark: SparkSession, folder: str) -> DataFrame:
+    """Venues written as differing files, read back as one table with one row per place."""
+    venues = s.venues_a(spark, folder).withColumnsRenamed(
+        {new: raw for raw, new in schemas.VENUE_A_NESTED.items()}
+    )
+    path = scratch_path(spark, "landing")
+    venues.where("user_ratings_total < 15").write.parquet(f"{path}/places1")
+    venues.where("user_ratings_total >= 10").drop("price_level").select(
+        *[f"`{c}`" for c in sorted(venues.columns, reverse=True) if c != "price_level"]
+    ).write.parquet(f"{path}/places2")
+    return rounded(sources.read_venue_a(spark, path), "latitude", "longitude")
+
+
+@query
+def details_unify(spark: SparkSession, folder: str) -> DataFrame:
+    """Details files of differing columns; the key comes from the path."""
+    parts = s.given(spark, folder, "part")
+    path = scratch_path(spark, "details")
+    both = parts.select(F.col("p_name").alias("reviews"), F.col("p_brand").alias("opening_hours.periods"))
+    both.write.parquet(f"{path}/g_both")
+    both.select("reviews").write.parquet(f"{path}/g_reviews")
+    both.select("`opening_hours.periods`").write.parquet(f"{path}/g_hours")
+    parts.select("p_type").write.parquet(f"{path}/g_neither")
+    return sources.read_venue_details(spark, path)
+
+
+@query
+def table_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables written to a folder, then listed; only those the target lacks are copied."""
+    path = scratch_path(spark, "tables")
+    for name in ("nation", "region", "customer"):
+        sources.write_table(s.given(spark, folder, name), f"{path}/landing", name)
+    sources.write_table(s.given(spark, folder, "nation"), f"{path}/warehouse", "nation")
+    copied = sources.copy_missing(spark, f"{path}/landing", f"{path}/warehouse")
+    found = sources.list_tables(spark, f"{path}/warehouse")
+    rows = sources.read_table(spark, f"{path}/warehouse", "customer").select(F.count(F.lit(1)).alias("customers"))
+    return found.select("name", F.col("name").isin(copied).alias("copied"), rows.scalar().alias("customers"))
+
+
+@query
+def append_rows(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "append")
+    orders = s.given(spark, folder, "orders")
+    sources.write_table(orders.where("o_orderstatus = 'F'"), path, "orders")
+    sources.write_table(orders.where("o_orderstatus <> 'F'"), path, "orders", mode="append")
+    return sources.read_table(spark, path, "orders")
+
+
+def _image_paths(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("p_partkey")
+    name = F.when(key % 9 == 0, F.concat(F.lit("g_"), key, F.lit(".jpg"))).otherwise(
+        F.concat(F.lit("g_go"), key % 40, F.lit("_"), F.col("p_size"), F.lit(".jpg"))
+    )
+    return s.given(spark, folder, "part").select(F.concat(F.lit("/images/"), name).alias("path"))
+
+
+@query
+def image_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    return image_files.image_catalog(_image_paths(spark, folder))
+
+
+@query
+def external_images(spark: SparkSession, folder: str) -> DataFrame:
+    built = warehouse.build_external_images(
+        image_files.image_catalog(_image_paths(spark, folder)), s.restaurants(spark, folder)
+    )
+    return built.drop("image_id")
+
+
+# Mutation
+
+
+def _order_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Item totals per order, for a shifted range of keys: some known, some new."""
+    items = s.given(spark, folder, "lineitem")
+    return items.groupBy((F.col("l_orderkey") * 2).alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("o_custkey"),
+        F.max("l_returnflag").alias("o_orderstatus"),
+        F.round(F.sum("l_extendedprice"), 2).alias("o_totalprice"),
+        F.max("l_shipdate").alias("o_orderdate"),
+        F.lit("changed").alias("o_orderpriority"),
+    )
+
+
+@query
+def upsert_all(spark: SparkSession, folder: str) -> DataFrame:
+    return mutate.upsert(s.given(spark, folder, "orders"), _order_changes(spark, folder), ["o_orderkey"])
+
+
+@query
+def upsert_partial(spark: SparkSession, folder: str) -> DataFrame:
+    return mutate.upsert(
+        s.given(spark, folder, "orders"), _order_changes(spark, folder), ["o_orderkey"],
+        ["o_totalprice", "o_orderpriority"],
+    )
+
+
+def _first_words(spark: SparkSession, folder: str) -> DataFrame:
+    """A dictionary of the words that part names begin with."""
+    first = s.given(spark, folder, "part").select(F.substring_index("p_name", " ", 1).alias("word"))
+    return keyed_values(first, "word", "word_key").select("word", "word_key")
+
+
+@query
+def upsert_default_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of part names against the dictionary of first words; unknown ones get -1."""
+    words = explode_values(
+        s.given(spark, folder, "part"), text.split_values(F.col("p_name"), " "), ["p_partkey"], "word"
+    )
+    known = _first_words(spark, folder)
+    return mutate.lookup_key(words, known, "word", "word_key")
+
+
+@query
+def append_new_keys(spark: SparkSession, folder: str) -> DataFrame:
+    words = explode_values(
+        s.given(spark, folder, "part"), text.split_values(F.col("p_name"), " "), ["p_partkey"], "word"
+    )
+    known = _first_words(spark, folder)
+    return mutate.append_new_keys(known, words, "word", "word_key")
+
+
+@query
+def replace_value_sets(spark: SparkSession, folder: str) -> DataFrame:
+    target = s.cuisines(spark, folder)
+    rows = s.given(spark, folder, "part").where("p_type = 'PROMO' and p_size < 3").select(
+        s.brand_number().alias("restaurant_key"), F.upper("p_type").alias("cuisine")
+    )
+    return warehouse.update_values(target, rows.distinct(), "cuisine", "cuisine_key")
+
+
+def _ratings(orders: DataFrame) -> DataFrame:
+    return orders.groupBy(
+        F.col("o_custkey").alias("ra_key"), F.lit("google").alias("source"),
+        dates.day_epoch(F.to_date("o_orderdate")).alias("timestamp"),
+    ).agg(F.max("o_totalprice").alias("rating"))
+
+
+@query
+def rating_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings by day, those of finished orders loaded again with other values: none appears twice."""
+    orders = s.given(spark, folder, "orders")
+    again = _ratings(orders.where("o_orderstatus = 'F'")).withColumn("rating", F.col("rating") + 1)
+    return warehouse.update_ratings(_ratings(orders), again)
+
+
+@query
+def opening_hours_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    hours = s.opening_hours(spark, folder).groupBy("ra_key", "day_key", "open_time").agg(
+        F.max("close_time").alias("close_time")
+    )
+    later = hours.where("open_time >= 1500").withColumn("close_time", F.col("close_time") + 100)
+    return warehouse.update_opening_hours(hours, later)
+
+
+@query
+def delete_where(spark: SparkSession, folder: str) -> DataFrame:
+    users = s.users(spark, folder)
+    return mutate.delete_where(users, F.col("age") < 50)
+
+
+@query
+def cascade_delete(spark: SparkSession, folder: str) -> DataFrame:
+    customers = s.given(spark, folder, "customer")
+    kept, rest = mutate.cascade_delete(
+        customers, "c_custkey", F.col("c_acctbal") < 0,
+        {
+            "orders": (s.given(spark, folder, "orders"), "o_custkey"),
+            "events": (s.given(spark, folder, "events"), "user_id"),
+        },
+    )
+    named = lambda name, df, key, owner: df.select(
+        F.lit(name).alias("table_name"), F.col(key).alias("id"), F.col(owner).alias("owner")
+    )
+    return (
+        named("customer", kept, "c_custkey", "c_custkey")
+        .unionByName(named("orders", rest["orders"], "o_orderkey", "o_custkey"))
+        .unionByName(named("events", rest["events"], "event_id", "user_id"))
+    )
+
+
+@query
+def mark_closed(spark: SparkSession, folder: str) -> DataFrame:
+    closed = s.given(spark, folder, "events").where("event_type = 'error'").select(
+        F.concat(F.lit("go"), F.get_json_object("props", "$.k")).alias("place_id")
+    )
+    flagged = mutate.mark_closed(s.restaurants(spark, folder), closed, F.lit("2024-03-05 10:20:30").cast("timestamp"))
+    time = F.date_format("closed_time", "yyyy-MM-dd HH:mm:ss").alias("closed_time")
+    return flagged.select("key", "go_key", "closed", time)
+
+
+@query
+def assign_keys(spark: SparkSession, folder: str) -> DataFrame:
+    rows = s.given(spark, folder, "customer").select("c_name", "c_nationkey")
+    existing = s.given(spark, folder, "customer").where("c_acctbal >= 0").select(
+        "c_name", (F.col("c_custkey") * 2).alias("key")
+    )
+    return mutate.assign_keys(rows, existing, ["c_name"], ["c_name"])
+
+
+# Spatial join and the warehouse it feeds
+
+
+@query
+def spatial_inner(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = spatial.within_radius(s.venues_a(spark, folder), s.venues_b(spark, folder))
+    return pairs.select("place_id", "ta_id", F.round("distance_m", 3).alias("distance_m"))
+
+
+@query
+def spatial_left(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = spatial.within_radius_left(s.venues_a(spark, folder), s.venues_b(spark, folder), "place_id")
+    return pairs.select("place_id", "ta_id", F.round("distance_m", 3).alias("distance_m"))
+
+
+def _matched(spark: SparkSession, folder: str) -> DataFrame:
+    return warehouse.match_venues(s.venues_a(spark, folder), s.venues_b(spark, folder))
+
+
+@query
+def build_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    built = warehouse.build_restaurants(_matched(spark, folder))
+    return rounded(built.drop("closed_time"), "latitude", "longitude")
+
+
+@query
+def build_cuisines(spark: SparkSession, folder: str) -> DataFrame:
+    return warehouse.build_cuisines(_matched(spark, folder))
+
+
+@query
+def build_meals(spark: SparkSession, folder: str) -> DataFrame:
+    return warehouse.build_meals(_matched(spark, folder))
+
+
+@query
+def build_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    return warehouse.build_ratings(_matched(spark, folder), F.lit("2024-03-05").cast("date"))
+
+
+@query
+def build_long_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversation turns as reviews of the venue whose number is the conversation's."""
+    conv = F.col("conv_id")
+    reviews = s.given(spark, folder, "conversations").select(
+        F.concat(conv, F.lit("-"), "turn").alias("_c0"),
+        F.concat(F.lit("http://venues.example/Review-g187497-d"), conv, F.lit("-Place")).alias("url_restaurant"),
+        F.when(F.col("turn") % 4 == 3, "yesterday").otherwise(
+            F.concat(F.lit("January "), F.col("turn") % 28 + 1, F.lit(", 2020"))
+        ).alias("date"),
+        F.col("role").alias("rating_review"), F.lit("sample").alias("sample"), F.col("role").alias("title_review"),
+        F.col("text").alias("review_full"),
+    )
+    return warehouse.build_long_reviews(_matched(spark, folder), reviews)
+
+
+@query
+def build_michelin(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as award list: it names the venue of the same customer."""
+    key = F.col("c_custkey")
+    awards = s.given(spark, folder, "customer").select(
+        F.col("c_name").alias("Name"),
+        F.when(key % 2 == 0, "Barcelona").otherwise("Madrid").alias("Location"),
+        F.when(key % 3 == 0, "Bib Gourmand").when(key % 3 == 1, F.concat(key % 4, F.lit(" MICHELIN Star")))
+        .otherwise("Green").alias("Award"),
+    )
+    return warehouse.build_michelin(_matched(spark, folder), awards, "Barcelona").drop("year")
+
+
+@query
+def build_opening_hours(spark: SparkSession, folder: str) -> DataFrame:
+    periods = s.given(spark, folder, "part").select(
+        F.concat(F.lit("p"), F.col("p_partkey")).alias("google_key"), (F.col("p_size") % 7).alias("day"),
+        F.lit(900).alias("open_time"), F.lit(2100).alias("close_time"), (F.col("p_size") % 7).alias("open_day"),
+    )
+    restaurants = warehouse.build_restaurants(_matched(spark, folder))
+    return warehouse.build_opening_hours(periods, restaurants)
+
+
+@query
+def build_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    reviews = s.given(spark, folder, "documents").select(
+        (F.col("n_chars") % 5 + 1).cast("int").alias("google_rating"), "text", F.col("n_chars").alias("time"),
+        F.concat(F.lit(" p"), F.col("doc_id") * 3, F.lit(" ")).alias("google_key"),
+    )
+    restaurants = warehouse.build_restaurants(_matched(spark, folder))
+    return warehouse.build_reviews(reviews, restaurants).drop("review_key")
+
+
+def _updated(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """A warehouse built from some venues of the second source, then updated with all."""
+    first = durable(
+        warehouse.match_venues(s.venues_a(spark, folder), s.venues_b(spark, folder).where("ta_rating < 950"))
+    )
+    day = F.lit("2024-03-05").cast("timestamp_ntz")
+    tables = {
+        "restaurants": warehouse.build_restaurants(first), "cuisines": warehouse.build_cuisines(first),
+        "meals": warehouse.build_meals(first), "rating": warehouse.build_ratings(first, day),
+    }
+    later = F.lit("2024-03-06").cast("timestamp_ntz")
+    return warehouse.update_warehouse(tables, s.venues_a(spark, folder), s.venues_b(spark, folder), later)
+
+
+@query
+def update_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    return _updated(spark, folder)["restaurants"].select("key", "go_key", "ta_key", "price", "closed")
+
+
+@query
+def update_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    return _updated(spark, folder)["rating"]
+
+
+@query
+def update_meals(spark: SparkSession, folder: str) -> DataFrame:
+    return _updated(spark, folder)["meals"]
+
+
+@query
+def delete_closed(spark: SparkSession, folder: str) -> DataFrame:
+    matched = durable(_matched(spark, folder))
+    restaurants = warehouse.build_restaurants(matched)
+    closed = s.venues_a(spark, folder).where("business_status = 'CLOSED_PERMANENTLY'").select("place_id")
+    tables = {
+        "restaurants": mutate.mark_closed(restaurants, closed),
+        "cuisines": warehouse.build_cuisines(matched), "rating": warehouse.build_ratings(matched),
+    }
+    kept = warehouse.delete_closed(tables)
+    return kept["cuisines"].select("restaurant_key", "cuisine")
+
+
+# Graph
+
+
+def _graph_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Warehouse tables of the graph: some ends of edges have no node of their own."""
+    parts = s.given(spark, folder, "part")
+    key = F.col("p_partkey")
+    customers = s.given(spark, folder, "customer")
+    return {
+        "restaurants": s.restaurants(spark, folder).where("closed = 0"),
+        "images": s.images(spark, folder),
+        "users": customers.where("c_mktsegment <> 'FURNITURE'").select(
+            F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("sex"), F.lit("2024").alias("createDate"),
+            F.col("c_nationkey").alias("nationality"), F.col("c_mktsegment").alias("occupation"),
+        ),
+        "cuisines": s.cuisines(spark, folder),
+        "meals": parts.select(
+            s.brand_number().alias("restaurant_key"), F.concat(F.lit("size "), "p_size").alias("meals"),
+            F.col("p_size").alias("meal_key"),
+        ),
+        "weekday": warehouse.weekdays(spark).where("weekday <> 'Tuesday'"),
+        "opening_hours": s.opening_hours(spark, folder),
+        "michelin": parts.select(
+            s.brand_number().alias("ra_key"), (F.col("p_size") % 4).alias("number_of_stars"),
+            F.lit(None).cast("int").alias("year"),
+        ),
+        "dishes": s.dishes(spark, folder),
+        "images_external": parts.select(
+            key.alias("image_id"), s.brand_number().alias("ra_key"), F.col("p_name").alias("image_file"),
+            F.lit("google").alias("source"),
+        ),
+        "swipes": s.swipes(spark, folder),
+    }
+
+
+def _graph(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    return graph.build_graph(_graph_tables(spark, folder))
+
+
+@query
+def graph_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    return _graph(spark, folder)[0]
+
+
+@query
+def graph_node_properties(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.node_tables(_graph_tables(spark, folder))["Cuisines"][0]
+
+
+@query
+def graph_edges_bag(spark: SparkSession, folder: str) -> DataFrame:
+    _, edges = _graph(spark, folder)
+    view = graph.edge_view({name: edges[name] for name in edges if graph.EDGES[name].kind == graph.BAG})
+    return view.groupBy("type", "src_label", "src", "dst_label", "dst", "swipeLeft").agg(
+        F.count(F.lit(1)).alias("edges")
+    )
+
+
+@query
+def graph_edges_set(spark: SparkSession, folder: str) -> DataFrame:
+    _, edges = _graph(spark, folder)
+    view = graph.edge_view({name: edges[name] for name in edges if graph.EDGES[name].kind == graph.SET})
+    return view.drop("year")
+
+
+def _projection(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    nodes, edges = _graph(spark, folder)
+    view = graph.edge_view({name: edges[name] for name in graph.PROJECTED_TYPES})
+    return graph.projection_nodes(nodes), graph.projection(view)
+
+
+@query
+def graph_projection(spark: SparkSession, folder: str) -> DataFrame:
+    edges = _projection(spark, folder)[1]
+    return edges.groupBy("type", "src", "dst").agg(F.sum("weight").alias("weight"), F.sum("swipeLeft").alias("left"))
+
+
+@query
+def graph_likes(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.likes_only(_projection(spark, folder)[1]).drop("swipeLeft")
+
+
+@query
+def graph_likes_every_type(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.likes_only(_projection(spark, folder)[1], every_type=True).drop("swipeLeft")
+
+
+@query
+def fastrp(spark: SparkSession, folder: str) -> DataFrame:
+    nodes, edges = _projection(spark, folder)
+    vectors = embed(nodes, graph.likes_only(edges))
+    shown = F.transform("embedding", lambda x: F.round(x.cast("double"), 4))
+    return vectors.select("node", F.posexplode(shown).alias("dimension", "value")).where("value <> 0")
+
+
+@query
+def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(s.given(spark, folder, "embeddings"), 10, "vec_id")
+
+
+@query
+def similar_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    nodes, edges = _graph(spark, folder)
+    view = graph.edge_view({name: edges[name] for name in graph.PROJECTED_TYPES})
+    return recommend.similar_restaurants(nodes, view).select("src", "dst", F.round("score", 4).alias("score"))
+
+
+# Recommendation
+
+
+def _similar(spark: SparkSession, folder: str) -> DataFrame:
+    """Restaurants linked by the brand and size of a part, scored by the part's number."""
+    rows = s.given(spark, folder, "part").select(
+        s.brand_number().alias("src"), (F.col("p_size") % 25 + 1).cast("bigint").alias("dst"), "p_partkey"
+    )
+    return rows.where("src <> dst").groupBy("src", "dst").agg(
+        F.round(F.max(F.col("p_partkey") % 997) / 997, 6).alias("score")
+    )
+
+
+AT = "2024-01-17 12:15:00"
+
+
+@query
+def recent_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    recent = recommend.recent_restaurants(s.swipes(spark, folder), s.images(spark, folder))
+    return recent.groupBy("userId", "restaurantId").agg(F.count(F.lit(1)).alias("likes"))
+
+
+@query
+def open_places(spark: SparkSession, folder: str) -> DataFrame:
+    at = F.lit(AT).cast("timestamp_ntz")
+    places = recommend.open_places(
+        s.restaurants(spark, folder), s.opening_hours(spark, folder), warehouse.weekdays(spark), at
+    )
+    return rounded(places, "latitude", "longitude")
+
+
+def _recommendation_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    at = F.lit(AT).cast("timestamp_ntz")
+    return (
+        recommend.recent_restaurants(s.swipes(spark, folder), s.images(spark, folder)),
+        _similar(spark, folder),
+        recommend.open_places(
+            s.restaurants(spark, folder), s.opening_hours(spark, folder), warehouse.weekdays(spark), at
+        ),
+    )
+
+
+@query
+def recommend_batch(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("c_custkey")
+    locations = s.given(spark, folder, "customer").select(
+        key.alias("userId"), (41.3 + key % 80 * 0.001).alias("latitude"), (2.1 + key % 70 * 0.001).alias("longitude")
+    )
+    chosen = recommend.recommend(*_recommendation_inputs(spark, folder), locations)
+    return chosen.withColumn("distance", F.round("distance", 2))
+
+
+@query
+def recommend_single(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = recommend.recommend_for(7, 41.35, 2.15, *_recommendation_inputs(spark, folder))
+    return chosen.withColumn("distance", F.round("distance", 2))
+
+
+@query
+def recommend_from_any(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = recommend.recommend_for(7, 41.35, 2.15, *_recommendation_inputs(spark, folder), from_any=True)
+    return chosen.withColumn("distance", F.round("distance", 2))
+
+
+@query
+def liked_images(spark: SparkSession, folder: str) -> DataFrame:
+    liked = recommend.liked_images(s.history(spark, folder), s.images(spark, folder))
+    return liked.select("restaurantId", "imageId", "swipes", "likes", F.round("ratio", 6).alias("ratio"), "place")
+
+
+@query
+def image_pick(spark: SparkSession, folder: str) -> DataFrame:
+    return recommend.pick_image(s.history(spark, folder), s.images(spark, folder))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import radians
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # WGS84 ellipsoid, UTM scale and false easting, sphere radius for distances.
@@ -30,20 +30,32 @@ def zone_meridian(zone: int) -> float:
     return zone * 6.0 - 183.0
 
 
-def utm(latitude: Column, longitude: Column, zone: int = 31) -> tuple[Column, Column]:
-    """Northern-hemisphere UTM easting and northing in metres (Krüger series)."""
-    phi = F.radians(latitude)
-    lam = F.radians(longitude) - F.lit(radians(zone_meridian(zone)))
-    sin_phi = F.sin(phi)
-    t = F.sinh(F.atanh(sin_phi) - _ECCENTRICITY * F.atanh(_ECCENTRICITY * sin_phi))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+def with_utm(
+    df: DataFrame, latitude: Column, longitude: Column, x: str, y: str, zone: int = 31
+) -> DataFrame:
+    """Add northern-hemisphere UTM easting and northing in metres (Krüger series).
+
+    Each step is a column of its own, so none is worked out more than once.
+    """
+    lat = F.radians(latitude)
+    lon = F.radians(longitude) - F.lit(radians(zone_meridian(zone)))
+    steps = df.withColumns({"_sin": F.sin(lat), "_lam": lon})
+    conformal = F.sinh(F.atanh("_sin") - _ECCENTRICITY * F.atanh(_ECCENTRICITY * F.col("_sin")))
+    steps = steps.withColumn("_tan", conformal)
+    steps = steps.withColumns(
+        {
+            "_xi": F.atan2(F.col("_tan"), F.cos("_lam")),
+            "_eta": F.atanh(F.sin("_lam") / F.sqrt(1 + F.col("_tan") * F.col("_tan"))),
+        }
+    )
+    xi, eta = F.col("_xi"), F.col("_eta")
     east, north = eta, xi
     for order, factor in enumerate(_SERIES, start=1):
         east = east + factor * F.cos(2 * order * xi) * F.sinh(2 * order * eta)
         north = north + factor * F.sin(2 * order * xi) * F.cosh(2 * order * eta)
     scale = UTM_SCALE * _RADIUS
-    return UTM_FALSE_EASTING + scale * east, scale * north
+    projected = steps.withColumns({x: UTM_FALSE_EASTING + scale * east, y: scale * north})
+    return projected.drop("_sin", "_lam", "_tan", "_xi", "_eta")
 
 
 def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

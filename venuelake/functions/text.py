@@ -87,7 +87,7 @@ def parse_hours(text: Column) -> Column:
 
 def split_values(text: Column, separator: str = ",") -> Column:
     """Separated list in text to an array of trimmed values."""
-    return F.transform(F.split(text, separator), F.trim)
+    return F.transform(F.split(text, separator), lambda value: F.trim(value))
 
 
 def price_level(text: Column) -> Column:

@@ -58,7 +58,7 @@ def embed(
     node with very many edges nor a lost executor holds a round up.
     """
     links = durable(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
-    hot = durable(hot_keys(links.select("src"), ["src"]))
+    hot = hot_keys(links, ["src"])
     zero = F.array_repeat(F.lit(0.0), dimensions)
     state = nodes.select("node").distinct().select(
         "node", random_row(F.col("node"), dimensions, seed).alias("vector"), zero.alias("total")

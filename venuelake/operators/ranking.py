@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from venuelake.session import durable
 
+# A group of this many rows is still sorted by one task with ease.
+LARGE_GROUP = 1_000_000
+
 
 def sort_columns(order: list[str]) -> list[Column]:
     """``"-x"`` sorts by x descending, ``"x"`` ascending."""
@@ -33,18 +36,38 @@ def rank_rows(
 ) -> DataFrame:
     """``row_number`` (by order and tie) and ``dense_rank`` (by order) within each group.
 
-    A window over the group would put it into one task. Here the rows are range
+    The rows are written down once. Groups of up to ``LARGE_GROUP`` rows are ranked by a
+    window each. With a larger one, which no task should hold, the rows are range
     partitioned by group, order and tie (which together must tell rows apart), ranked
-    within each slice, and shifted by what the group's earlier slices hold. The sliced
-    rows are written once, so both passes over them see the same slices.
+    within each slice, and shifted by what the group's earlier slices hold.
     """
     key = F.struct(*group) if group else F.struct(F.lit(0).alias("_all"))
-    value = F.struct(*[name.lstrip("-") for name in order])
+    rows = durable(df.withColumn("_group", key))
     by_value, by_row = sort_columns(order), sort_columns([*order, *tie])
+    largest = rows.groupBy("_group").count().agg(F.max("count")).first()[0] or 0
+    if largest > LARGE_GROUP:
+        ranked = _rank_slices(rows, order, by_value, by_row)
+    else:
+        whole = Window.partitionBy("_group")
+        ranked = rows.withColumns(
+            {
+                "_row": F.row_number().over(whole.orderBy(*by_row)),
+                "_dense": F.dense_rank().over(whole.orderBy(*by_value)),
+            }
+        )
+    ranks = {row_number: "_row", dense_rank: "_dense"}
+    return ranked.select(
+        *df.columns, *[F.col(rank).cast("bigint").alias(name) for name, rank in ranks.items() if name]
+    )
+
+
+def _rank_slices(
+    rows: DataFrame, order: list[str], by_value: list[Column], by_row: list[Column]
+) -> DataFrame:
+    """Add ``_row`` and ``_dense``. The slices are written, so both passes see the same ones."""
+    value = F.struct(*[name.lstrip("-") for name in order])
     slices = durable(
-        df.withColumn("_group", key)
-        .repartitionByRange(F.asc("_group"), *by_row)
-        .withColumn("_slice", F.spark_partition_id())
+        rows.repartitionByRange(F.asc("_group"), *by_row).withColumn("_slice", F.spark_partition_id())
     )
     in_slice = Window.partitionBy("_group", "_slice")
     local = slices.withColumns(
@@ -73,12 +96,12 @@ def rank_rows(
             "_values_before"
         ),
     )
-    ranked = local.join(offsets, ["_group", "_slice"])
-    if row_number:
-        ranked = ranked.withColumn(row_number, F.col("_row") + F.col("_rows_before"))
-    if dense_rank:
-        ranked = ranked.withColumn(dense_rank, F.col("_dense") + F.col("_values_before"))
-    return ranked.select(*df.columns, *[name for name in (row_number, dense_rank) if name])
+    return local.join(offsets, ["_group", "_slice"]).withColumns(
+        {
+            "_row": F.col("_row") + F.col("_rows_before"),
+            "_dense": F.col("_dense") + F.col("_values_before"),
+        }
+    )
 
 
 def dense_keys(values: DataFrame, column: str, key: str, start: int = 0) -> DataFrame:

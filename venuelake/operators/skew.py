@@ -4,28 +4,40 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are never
-# more than HOT_SHARE hot keys and the list of them is safe to broadcast.
+# Hot are the HOT_SHARE largest keys, if they have more than HOT_ROWS rows: the list is
+# short enough to collect and broadcast. Any other key holds less than 1/HOT_SHARE of the
+# rows, or so few that it is no burden to one task.
 HOT_SHARE = 1000
+HOT_ROWS = 1_000_000
 SALTS = 32
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Key values that hold more than ``1/share`` of the rows (at most ``share`` of them)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * share > total).select(*keys)
+def hot_keys(df: DataFrame, keys: list[str]) -> list[Row]:
+    """The (at most ``HOT_SHARE``) largest key values with more than ``HOT_ROWS`` rows.
+
+    Only the key columns are read, and they are counted in the map tasks first.
+    """
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = counts.where(F.col("_rows") > HOT_ROWS).orderBy(F.desc("_rows")).limit(HOT_SHARE)
+    return large.select(*keys).collect()
 
 
 def _row_salt(df: DataFrame, salts: int) -> Column:
     return F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
 
 
-def _marked(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+def _marked(df: DataFrame, hot: list[Row], keys: list[str]) -> DataFrame:
+    names = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+    return df.join(F.broadcast(names.withColumn("_hot", F.lit(True))), keys, "left")
+
+
+def _every_salt(salts: int) -> Column:
+    return F.explode(
+        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    )
 
 
 def skew_join(
@@ -33,8 +45,9 @@ def skew_join(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
+    counted: DataFrame | None = None,
     salts: int = SALTS,
-    hot: DataFrame | None = None,
+    hot: list[Row] | None = None,
 ) -> DataFrame:
     """Equi-join that spreads the hot keys of ``left`` over ``salts`` tasks.
 
@@ -42,15 +55,19 @@ def skew_join(
     the matching rows of ``right`` are repeated once per number. All other rows join as
     usual, and no row is lost or repeated in the result. ``how`` may be inner, left,
     left_semi or left_anti, which all keep the rows of ``left`` apart. Rows of ``left``
-    with a null key match nothing and are spread as well. A small ``right`` is still
-    broadcast by Spark, whose size check applies to it as to any join.
+    with a null key match nothing and are spread as well. Without hot keys this is a
+    plain join. A small ``right`` is broadcast by Spark after its own size check.
+
+    ``counted`` is a cheaper frame to count the keys in than ``left``, such as the table
+    that ``left`` comes from; ``hot`` is a list found before.
     """
-    hot = hot_keys(left.select(*keys), keys) if hot is None else hot
+    hot = hot_keys(left if counted is None else counted, keys) if hot is None else hot
+    if not hot:
+        return left.join(right, keys, how)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = F.when(F.col("_hot") | no_key, _row_salt(left, salts)).otherwise(0)
     salted = _marked(left, hot, keys).withColumn("_salt", spread).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = _marked(right, hot, keys).withColumn("_salt", F.explode(every)).drop("_hot")
+    repeated = _marked(right, hot, keys).withColumn("_salt", _every_salt(salts)).drop("_hot")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -60,14 +77,11 @@ def skew_join_both(left: DataFrame, right: DataFrame, keys: list[str], salts: in
     A hot key is cut into a ``salts`` by ``salts`` grid: every pair of rows meets in
     exactly one cell of it.
     """
-    hot = (
-        hot_keys(left.select(*keys), keys)
-        .unionByName(hot_keys(right.select(*keys), keys))
-        .distinct()
-    )
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    hot = list({*hot_keys(left, keys), *hot_keys(right, keys)})
+    if not hot:
+        return left.join(right, keys)
     own = lambda df: F.when(F.col("_hot"), _row_salt(df, salts)).otherwise(0)
-    rows = _marked(left, hot, keys).withColumn("_row", own(left)).withColumn("_column", F.explode(every))
-    columns = _marked(right, hot, keys).withColumn("_column", own(right)).withColumn("_row", F.explode(every))
+    rows = _marked(left, hot, keys).withColumn("_row", own(left)).withColumn("_column", _every_salt(salts))
+    columns = _marked(right, hot, keys).withColumn("_column", own(right)).withColumn("_row", _every_salt(salts))
     joined = rows.drop("_hot").join(columns.drop("_hot"), [*keys, "_row", "_column"])
     return joined.drop("_row", "_column")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuelake import schemas
-from venuelake.functions.geo import utm
+from venuelake.functions.geo import with_utm
 from venuelake.functions.numbers import nan_to_null
 from venuelake.operators.skew import skew_join_both
 
@@ -16,8 +16,8 @@ CELL_RADII = 4
 
 
 def _projected(df: DataFrame, lat: str, lon: str, zone: int, side: str) -> DataFrame:
-    x, y = utm(nan_to_null(F.col(lat)), nan_to_null(F.col(lon)), zone)
-    return df.withColumns({f"_{side}x": x, f"_{side}y": y})
+    point = nan_to_null(F.col(lat)), nan_to_null(F.col(lon))
+    return with_utm(df, *point, f"_{side}x", f"_{side}y", zone)
 
 
 def within_radius(

@@ -20,7 +20,7 @@ def image_owners(images: DataFrame) -> DataFrame:
 def restaurant_swipes(swipes: DataFrame, images: DataFrame) -> DataFrame:
     """Swipes with their day and the restaurant of the image."""
     facts = swipes.select("userId", "imageId", "swipeLeft", F.to_date("timestamp").alias("date"))
-    return skew_join(facts, image_owners(images), ["imageId"])
+    return skew_join(facts, image_owners(images), ["imageId"], counted=swipes)
 
 
 def daily_stats(swipes: DataFrame, images: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def monthly_visitors(swipes: DataFrame, images: DataFrame, users: DataFrame) ->
     visits = (
         skew_join(
             swipes.select("userId", "imageId", month(F.col("timestamp")).alias("month")).distinct(),
-            image_owners(images), ["imageId"],
+            image_owners(images), ["imageId"], counted=swipes,
         )
         .select("userId", "restaurantId", "month")
         .distinct()

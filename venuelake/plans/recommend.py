@@ -14,6 +14,7 @@ from venuelake.operators.propagate import embed
 from venuelake.operators.ranking import top_n
 from venuelake.operators.skew import skew_join
 from venuelake.plans.graph import likes_only, projection, projection_nodes
+from venuelake.session import durable
 
 RECENT_LIKES = 5
 NEAREST_PLACES = 3
@@ -42,7 +43,7 @@ def recent_restaurants(swipes: DataFrame, images: DataFrame, n: int = RECENT_LIK
     """``(userId, restaurantId)`` of each user's latest likes; a restaurant may repeat."""
     likes = swipes.where(F.col("swipeLeft") == 0).select("id", "userId", "imageId", "timestamp")
     owners = images.select(F.col("id").alias("imageId"), "restaurantId").where("restaurantId is not null")
-    placed = skew_join(likes, owners, ["imageId"])
+    placed = skew_join(likes, owners, ["imageId"], counted=swipes)
     return top_n(placed, ["userId"], ["-timestamp", "-id"], n).select("userId", "restaurantId")
 
 
@@ -61,8 +62,9 @@ def _choose(candidates: DataFrame, places: DataFrame, locations: DataFrame) -> D
     """From ``(userId, restaurantId, score)``: of the three nearest places the best one."""
     at = locations.select("userId", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"))
     metres = distance_m(F.col("latitude"), F.col("longitude"), F.col("_lat"), F.col("_lon"))
-    placed = skew_join(candidates, places, ["restaurantId"])
-    ranked = skew_join(placed, at, ["userId"]).withColumn("distance", metres)
+    ranked = (
+        skew_join(durable(candidates), places, ["restaurantId"]).join(at, "userId").withColumn("distance", metres)
+    )
     close = top_n(ranked, ["userId"], ["distance", "-score", "restaurantId"], NEAREST_PLACES, "_near").drop("_near")
     best = top_n(close, ["userId"], ["-score", "distance", "restaurantId"], 1, "_best")
     return best.select("userId", "restaurantId", "score", "distance")
@@ -76,7 +78,8 @@ def recommend(
     ``similar`` is ``(src, dst, score)``. A restaurant that several recent ones lead to
     counts once for each, as different paths do.
     """
-    mine = recent.distinct()
+    # A user has a handful of recent places, and each of them a handful of similar ones.
+    mine = durable(recent.distinct())
     links = similar.select(F.col("src").alias("restaurantId"), "dst", "score")
     reached = skew_join(mine, links, ["restaurantId"]).select(
         "userId", F.col("dst").alias("restaurantId"), "score"

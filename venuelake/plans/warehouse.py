@@ -12,6 +12,7 @@ from venuelake.operators import mutate, spatial
 from venuelake.operators.normalize import explode_values, keyed_values
 from venuelake.operators.ranking import rank_rows
 from venuelake.operators.skew import skew_join
+from venuelake.session import durable
 
 
 def prepare_venue_b(df: DataFrame, prefix: str = schemas.SOURCE_B_PREFIX) -> DataFrame:
@@ -136,7 +137,7 @@ def build_reviews(reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
     the same when more reviews are appended.
     """
     venues = restaurants.select(F.col("key").alias("ra_key"), F.trim("go_key").alias("google_key"))
-    trimmed = reviews.withColumn("google_key", F.trim("google_key"))
+    trimmed = durable(reviews.withColumn("google_key", F.trim("google_key")))
     identity = F.sha2(F.concat_ws("\x1f", "ra_key", "time", "google_rating", "text"), 256)
     return skew_join(trimmed, venues, ["google_key"]).select(
         "ra_key",
@@ -208,7 +209,7 @@ def update_warehouse(
     """
     closed = venues_a.where(F.col("business_status") == schemas.CLOSED_STATUS).select("place_id")
     flagged = mutate.mark_closed(tables["restaurants"], closed, as_of)
-    matched = match_for_update(venues_a, venues_b, tables["restaurants"], zone)
+    matched = durable(match_for_update(venues_a, venues_b, tables["restaurants"], zone))
     return {
         "restaurants": mutate.upsert(flagged, build_restaurants(matched), ["key"]),
         "cuisines": update_values(
