@@ -35,7 +35,9 @@ def with_utm(
 ) -> DataFrame:
     """Add northern-hemisphere UTM easting and northing in metres (Krüger series).
 
-    Each step is a column of its own, so none is worked out more than once.
+    Each step is a column of its own, so none is worked out more than once. The result
+    comes out of a generator: filters on it, such as a join's test for nulls, would else be
+    moved below the steps with the whole formula written out in them.
     """
     lat = F.radians(latitude)
     lon = F.radians(longitude) - F.lit(radians(zone_meridian(zone)))
@@ -54,8 +56,8 @@ def with_utm(
         east = east + factor * F.cos(2 * order * xi) * F.sinh(2 * order * eta)
         north = north + factor * F.sin(2 * order * xi) * F.cosh(2 * order * eta)
     scale = UTM_SCALE * _RADIUS
-    projected = steps.withColumns({x: UTM_FALSE_EASTING + scale * east, y: scale * north})
-    return projected.drop("_sin", "_lam", "_tan", "_xi", "_eta")
+    point = F.struct((UTM_FALSE_EASTING + scale * east).alias(x), (scale * north).alias(y))
+    return steps.select(*df.columns, F.inline(F.array(point)))
 
 
 def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from venuelake.operators.ranking import dense_keys
 from venuelake.operators.skew import skew_join
+from venuelake.session import durable
 
 
 def explode_values(df: DataFrame, values: Column, keep: list[str], name: str) -> DataFrame:
@@ -29,13 +30,11 @@ def normalize(
 
     Values get ids from 1 in value order; the bridge holds each (parent, value) once.
     """
-    exploded = explode_values(df, F.col(array_column), [index], value)
-    pairs = exploded.distinct()
-    values = dense_keys(exploded, value, "id", start=1)
+    pairs = durable(explode_values(df, F.col(array_column), [index], value).distinct())
+    values = dense_keys(pairs, value, "id", start=1)
     bridge = skew_join(
         pairs.withColumnRenamed(index, f"{parent}Id"),
         values.withColumnRenamed("id", f"{value}Id"),
         [value],
-        counted=exploded,
     ).select(f"{parent}Id", f"{value}Id")
     return df.drop(array_column), values.select(value, "id"), bridge

@@ -13,8 +13,8 @@ from venuelake.session import durable
 
 # One digest gives two hex digits for each of 16 dimensions.
 DIMENSIONS_PER_DIGEST = 16
-# Of 256 values of such a pair, this many mean +1 and as many -1: a sixth each.
-ONE_SIDE = 43
+# Pairs below the first mean +1, pairs from the second on -1: 43 of 256 each, about a sixth.
+PLUS_BELOW, MINUS_FROM = "2b", "d5"
 
 
 def random_row(node: Column, dimensions: int, seed: int) -> Column:
@@ -28,14 +28,14 @@ def random_row(node: Column, dimensions: int, seed: int) -> Column:
     def signs(digest: Column) -> Column:
         return F.transform(
             F.sequence(F.lit(0), F.lit(DIMENSIONS_PER_DIGEST - 1)),
-            lambda i: _sign(F.conv(F.substr(digest, 2 * i + 1, F.lit(2)), 16, 10).cast("int")),
+            lambda i: _sign(F.substr(digest, 2 * i + 1, F.lit(2))),
         )
 
     return F.slice(F.flatten(F.transform(digests, signs)), 1, dimensions)
 
 
-def _sign(value: Column) -> Column:
-    return F.when(value < ONE_SIDE, 1.0).when(value >= 256 - ONE_SIDE, -1.0).otherwise(0.0)
+def _sign(pair: Column) -> Column:
+    return F.when(pair < PLUS_BELOW, 1.0).when(pair >= MINUS_FROM, -1.0).otherwise(0.0)
 
 
 def _unit(vector: Column) -> Column:
@@ -60,7 +60,9 @@ def embed(
     links = durable(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     hot = hot_keys(links, ["src"])
     zero = F.array_repeat(F.lit(0.0), dimensions)
-    state = nodes.select("node").distinct().select(
+    # Node names are short and vectors long: partitions sized for the names would be too few.
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    state = durable(nodes.select("node").distinct().repartition(parts, "node")).select(
         "node", random_row(F.col("node"), dimensions, seed).alias("vector"), zero.alias("total")
     )
     for weight in round_weights:

@@ -146,7 +146,9 @@ def build_graph(tables: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, Data
         ):
             if required:
                 ids = known[label].distinct().withColumnRenamed("id", column)
-                rows = skew_join(rows, ids, [column], "left_semi")
+                # A set has few rows per end by now; a bag may have very many.
+                join = skew_join if edge.kind == BAG else DataFrame.join
+                rows = join(rows, ids, [column], "left_semi")
         edges[name] = rows.select("src", "dst", *edge.properties)
         for (label, _), column, required in (
             (edge.source, "src", edge.source_must_exist),
