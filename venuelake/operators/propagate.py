@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -38,11 +39,6 @@ def _sign(pair: Column) -> Column:
     return F.when(pair < PLUS_BELOW, 1.0).when(pair >= MINUS_FROM, -1.0).otherwise(0.0)
 
 
-def _unit(vector: Column) -> Column:
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
-    return F.when(norm > 0, F.transform(vector, lambda x: x / norm)).otherwise(vector)
-
-
 def embed(
     nodes: DataFrame,
     edges: DataFrame,
@@ -59,6 +55,7 @@ def embed(
     """
     links = durable(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     hot = hot_keys(links, ["src"])
+    to_unit = Normalizer(p=2.0, inputCol="mean", outputCol="unit")
     zero = F.array_repeat(F.lit(0.0), dimensions)
     # Node names are short and vectors long: partitions sized for the names would be too few.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -76,6 +73,7 @@ def embed(
         moved = state.select("node", "total").join(means, "node", "left").select(
             "node", "total", F.coalesce("mean", zero).alias("vector")
         )
-        total = F.zip_with("total", _unit(F.col("vector")), lambda a, b: a + weight * b)
-        state = durable(moved.select("node", "vector", total.alias("total")))
+        units = to_unit.transform(moved.withColumn("mean", array_to_vector("vector")))
+        total = F.zip_with("total", vector_to_array("unit"), lambda a, b: a + weight * b)
+        state = durable(units.select("node", "vector", total.alias("total")))
     return state.select("node", F.col("total").cast("array<float>").alias("embedding"))
