@@ -150,4 +150,4 @@ def compact_number(value: Column) -> Column:
     )
     digits = F.format_string("%.0f", F.bround(F.abs(scaled), 0))
     sign = F.when(value < 0, "-").otherwise("")
-    return F.when(F.isnan(value), "").otherwise(F.concat(sign, digits, suffix))
+    return F.when(F.isnan(value), "").when(value.isNotNull(), F.concat(sign, digits, suffix))
