@@ -294,8 +294,8 @@ VENUES = {
 }
 
 
-def utm_sql(lat: str, lon: str, source: str, columns: str) -> str:
-    """UTM zone 31 by Krüger's series, to the fourth order of the third flattening."""
+def utm_sql(lat: str, lon: str, source: str, columns: str, meridian: int = 3) -> str:
+    """UTM by Krüger's series, to the fourth order of the third flattening."""
     return f"""SELECT {columns},
             500000 + 0.9996 * a * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta)
                 + a3 * cos(6 * xi) * sinh(6 * eta) + a4 * cos(8 * xi) * sinh(8 * eta)) AS x,
@@ -307,7 +307,7 @@ def utm_sql(lat: str, lon: str, source: str, columns: str) -> str:
                 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440 AS a2,
                 61 * n**3 / 240 - 103 * n**4 / 140 AS a3, 49561 * n**4 / 161280 AS a4
             FROM (SELECT *, sinh(atanh(sin(radians({lat}))) - e * atanh(e * sin(radians({lat})))) AS t,
-                    radians({lon} - 3) AS l
+                    radians({lon} - {meridian}) AS l
                 FROM (SELECT *, f / (2 - f) AS n, sqrt(2 * f - f * f) AS e
                     FROM (SELECT *, 1 / 298.257223563::DOUBLE AS f FROM {source}))))"""
 
@@ -452,6 +452,15 @@ oracle(
     FROM venues_a v LEFT JOIN near n ON v.place_id = n.place_id""",
     VENUES,
 )
+oracle(
+    "spatial_other_zone",
+    "SELECT place_id, ta_id, round(distance, 3) AS distance_m FROM near",
+    VENUES
+    | {
+        "points_a": utm_sql("latitude", "longitude", "venues_a", "place_id", 15),
+        "points_b": utm_sql("lat", "lon", "venues_b", "ta_id", 15),
+    },
+)
 oracle(
     "build_restaurants",
     """SELECT key, place_id AS go_key, ta_id AS ta_key, "name" AS restaurant_name, vicinity AS address,
@@ -593,6 +602,7 @@ GRAPH = {
         UNION SELECT 'Opening_hours', {BRAND} || ':' || (p_size % 7) FROM part""",
 }
 oracle("graph_nodes", "SELECT label, id FROM graph_node", GRAPH)
+oracle("graph_node_lookup", "SELECT label, id FROM graph_node WHERE label = 'User' AND id = '8'", GRAPH)
 oracle(
     "graph_node_properties",
     """SELECT cuisine_key::VARCHAR AS id, cuisine_key, max(restaurant_key) AS restaurant_key, any_value(cuisine) AS cuisine

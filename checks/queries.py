@@ -554,6 +554,13 @@ def spatial_left(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select("place_id", "ta_id", F.round("distance_m", 3).alias("distance_m"))
 
 
+@query
+def spatial_other_zone(spark: SparkSession, folder: str) -> DataFrame:
+    """The same join on the map of a zone further east, where a map metre is less than one on the ground."""
+    pairs = spatial.within_radius(s.venues_a(spark, folder), s.venues_b(spark, folder), zone=33)
+    return pairs.select("place_id", "ta_id", F.round("distance_m", 3).alias("distance_m"))
+
+
 def _matched(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.match_venues(s.venues_a(spark, folder), s.venues_b(spark, folder))
 
@@ -714,6 +721,11 @@ def graph_nodes(spark: SparkSession, folder: str) -> DataFrame:
     return _graph(spark, folder)[0]
 
 
+@query
+def graph_node_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.node_lookup(_graph(spark, folder)[0], "User", 8)
+
+
 @query
 def graph_node_properties(spark: SparkSession, folder: str) -> DataFrame:
     return graph.node_tables(_graph_tables(spark, folder))["Cuisines"][0]

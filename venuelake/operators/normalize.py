@@ -30,7 +30,9 @@ def normalize(
 
     Values get ids from 1 in value order; the bridge holds each (parent, value) once.
     """
-    pairs = durable(explode_values(df, F.col(array_column), [index], value).distinct())
+    # Repeats within a row go before it is exploded, those between rows of one index after.
+    once = F.array_distinct(F.col(array_column))
+    pairs = durable(explode_values(df, once, [index], value).distinct())
     values = dense_keys(pairs, value, "id", start=1)
     bridge = skew_join(
         pairs.withColumnRenamed(index, f"{parent}Id"),

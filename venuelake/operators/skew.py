@@ -16,11 +16,11 @@ SALTS = 32
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> list[Row]:
-    """The (at most ``HOT_SHARE``) largest key values with more than ``HOT_ROWS`` rows.
+    """The (at most ``HOT_SHARE``) largest key values, nulls too, with more than ``HOT_ROWS`` rows.
 
     Only the key columns are read, and they are counted in the map tasks first.
     """
-    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     large = counts.where(F.col("_rows") > HOT_ROWS).orderBy(F.desc("_rows")).limit(HOT_SHARE)
     return large.select(*keys).collect()
 
@@ -61,7 +61,10 @@ def skew_join(
     ``counted`` is a cheaper frame to count the keys in than ``left``, such as the table
     that ``left`` comes from; ``hot`` is a list found before.
     """
-    hot = hot_keys(left if counted is None else counted, keys) if hot is None else hot
+    if hot is None:
+        seen = left if counted is None else counted
+        # Joins that keep unmatched rows keep those without a key; the others drop them unseen.
+        hot = hot_keys(seen if how in ("left", "left_anti") else seen.dropna(subset=keys), keys)
     if not hot:
         return left.join(right, keys, how)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -77,7 +80,7 @@ def skew_join_both(left: DataFrame, right: DataFrame, keys: list[str], salts: in
     A hot key is cut into a ``salts`` by ``salts`` grid: every pair of rows meets in
     exactly one cell of it.
     """
-    hot = list({*hot_keys(left, keys), *hot_keys(right, keys)})
+    hot = list({key for side in (left, right) for key in hot_keys(side.dropna(subset=keys), keys)})
     if not hot:
         return left.join(right, keys)
     own = lambda df: F.when(F.col("_hot"), _row_salt(df, salts)).otherwise(0)

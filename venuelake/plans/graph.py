@@ -114,6 +114,11 @@ def node_tables(tables: dict[str, DataFrame]) -> dict[str, list[DataFrame]]:
     return out
 
 
+def node_lookup(nodes: DataFrame, label: str, key: int | str) -> DataFrame:
+    """The node of a label with a key."""
+    return nodes.where((F.col("label") == label) & (F.col("id") == str(key)))
+
+
 def edge_rows(df: DataFrame, edge: EdgeType) -> DataFrame:
     """``(src, dst, properties…)``; a set keeps one row per pair, the largest properties."""
     rows = df.select(

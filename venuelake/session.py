@@ -14,7 +14,7 @@ def build_session(app: str = "venuelake", master: str | None = None, **settings:
     """A session with the settings the package's plans rely on.
 
     AQE sizes shuffles and splits skewed joins; UTC makes day and month buckets
-    independent of the machine. Memory and parallelism stay with the cluster.
+    independent of the machine; checkpoints go when nothing refers to them. Memory and parallelism stay with the cluster.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -22,6 +22,7 @@ def build_session(app: str = "venuelake", master: str | None = None, **settings:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
