@@ -19,24 +19,26 @@ JSON_OPTIONS = {
 _STRINGS = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
 
 
-def replace_outside_quotes(text: Column, first: str, rest: str, replacement: str) -> Column:
-    """Replace a token (its first character, then a pattern) outside quoted strings.
+def replace_outside_quotes(text: Column, first: str, token: str, replacement: str) -> Column:
+    """Replace a token outside quoted strings; ``first`` lists the characters it may start with.
 
     Each match starts where the last one ended and steps over whole strings, so the
     cost is one pass over the text and values are never touched. Text whose quotes do
     not pair up is left as it is.
     """
-    pattern = rf"(?s)\G((?:[^'\"{first}]++|{_STRINGS}|{first}(?!{rest}))*+){first}{rest}"
+    pattern = rf"(?s)\G((?:[^'\"{first}]++|{_STRINGS}|(?!{token})[{first}])*+){token}"
     return F.regexp_replace(text, pattern, "$1" + replacement)
 
 
 def repair_records(text: Column) -> Column:
-    """Record-list text (``None``/``True``/``False``, line breaks between records) to JSON."""
-    text = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-    text = replace_outside_quotes(text, "N", r"one\b", "null")
-    text = replace_outside_quotes(text, "T", r"rue\b", "true")
-    text = replace_outside_quotes(text, "F", r"alse\b", "false")
-    return replace_outside_quotes(text, r"\}", r"\s*\n\s*(?=\{)", "},")
+    """Record-list text (``None``/``True``/``False``, line breaks between records) to JSON.
+
+    All three words become null: no column that is read from such text is a boolean.
+    """
+    two_digit_codes = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    text = F.when(text.contains("\\x"), two_digit_codes).otherwise(text)
+    text = replace_outside_quotes(text, "NTF", r"(?:None|True|False)\b", "null")
+    return replace_outside_quotes(text, r"\}", r"\}\s*\n\s*(?=\{)", "},")
 
 
 def parse_records(text: Column, ddl: str) -> Column:
