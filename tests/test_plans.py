@@ -228,3 +228,20 @@ def test_closed_restaurants_go_with_their_rows(spark):
     ratings = spark.createDataFrame([(1, 4.0), (2, 5.0)], "ra_key long, rating double")
     kept = warehouse.delete_closed({"restaurants": flagged, "rating": ratings})
     assert tuples(kept["restaurants"].select("key")) == [(1,)] and tuples(kept["rating"]) == [(1, 4.0)]
+
+
+def test_restaurant_filter_reaches_the_scan(spark, tmp_path):
+    rows = [(5, date(2024, 1, 1), 2, 2, 1)]
+    daily = spark.createDataFrame(rows, "restaurantId long, date date, users long, impressions long, left_swipes long")
+    sources.write_table(daily, str(tmp_path), "daily_resto")
+    read = sources.read_table(spark, str(tmp_path), "daily_resto")
+    plan = serving.of_restaurant(read, 5).select("users")._jdf.queryExecution().toString()
+    assert "EqualTo(restaurantId,5)" in plan and "impressions" not in plan.split("ReadSchema:")[-1]
+
+
+def test_daily_distinct_users_are_spread_over_users(spark):
+    images = spark.createDataFrame([(1, 5)], "id long, restaurantId long")
+    swipes = swipes_for(spark, {1: 4})
+    plan = marts.daily_stats(swipes, images)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(restaurantId" in line]
+    assert any("userId" in line for line in exchanges)

@@ -15,6 +15,13 @@ JSON_OPTIONS = {
     "allowUnquotedControlChars": "true",
 }
 
+# Character codes of such literals that JSON writes differently. The second
+# are the tag characters of flag symbols, the only usual ones beyond four digits.
+_LITERAL_CODES = [
+    (r"\\x", "([0-9a-f]{2})", r"\\u00$2"),
+    (r"\\U000e00", "([0-9a-f]{2})", r"\\udb40\\udc$2"),
+]
+
 # A whole quoted string, either quote, with backslash escapes.
 _STRINGS = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
 
@@ -35,8 +42,9 @@ def repair_records(text: Column) -> Column:
 
     All three words become null: no column that is read from such text is a boolean.
     """
-    two_digit_codes = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-    text = F.when(text.contains("\\x"), two_digit_codes).otherwise(text)
+    for code, digits, json_code in _LITERAL_CODES:
+        found = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*){code}{digits}", "$1" + json_code)
+        text = F.when(text.rlike(code), found).otherwise(text)
     text = replace_outside_quotes(text, "NTF", r"(?:None|True|False)\b", "null")
     return replace_outside_quotes(text, r"\}", r"\}\s*\n\s*(?=\{)", "},")
 
