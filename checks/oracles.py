@@ -122,6 +122,16 @@ for suffix, query_name in (("", "monthly_stats_ranked"), ("_history", "monthly_h
         query_name,
         f'SELECT restaurantId, "month", {ROUNDED}, days_active, restaurant_name, "rank" FROM monthly{suffix}',
     )
+ORACLES["marts_written"] = ORACLES["monthly_history_ranked"]
+oracle(
+    "marts_written_view",
+    f"""SELECT cuisine, "month", {ROUNDED}, round(days_active, 6) AS days_active, restos FROM (
+        SELECT cuisine, "month", avg(dly_avg_users) AS dly_avg_users, avg(dly_avg_impressions) AS dly_avg_impressions,
+            avg(dly_avg_left_swipes) AS dly_avg_left_swipes, avg(days_active) AS days_active,
+            count(DISTINCT c.restaurant_key) AS restos
+        FROM monthly_history m RIGHT JOIN cuisines c ON m.restaurantId = c.restaurant_key
+        WHERE cuisine IN (SELECT cuisine FROM cuisines WHERE restaurant_key = 3) GROUP BY ALL)""",
+)
 oracle("top_bottom_items", "SELECT * FROM monthly_images")
 oracle("visitor_profile", "SELECT * FROM visitors")
 oracle("peer_rank", 'SELECT restaurantId, "month", cuisine, "rank", crank FROM peer_ranks')

@@ -82,6 +82,36 @@ def visitor_profile(spark: SparkSession, folder: str) -> DataFrame:
     return _visitors(spark, folder)
 
 
+def _written_marts(spark: SparkSession, folder: str) -> str:
+    """A warehouse written to a scratch folder, and all marts built from it there."""
+    path = scratch_path(spark, "marts")
+    warehouse_tables = {
+        "swipes": s.history, "images": s.images, "users": s.users, "restaurants": s.restaurants, "dishes": s.dishes
+    }
+    for name, build in warehouse_tables.items():
+        sources.write_table(build(spark, folder), f"{path}/warehouse", name)
+    marts.build_marts(spark, f"{path}/warehouse", f"{path}/marts")
+    return f"{path}/marts"
+
+
+@query
+def marts_written(spark: SparkSession, folder: str) -> DataFrame:
+    monthly = sources.read_table(spark, _written_marts(spark, folder), "monthly_resto")
+    return rounded(monthly, *serving.AVERAGES)
+
+
+@query
+def marts_written_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Peer averages of one restaurant from the written marts."""
+    path = _written_marts(spark, folder)
+    daily, monthly, shown, visitors = (
+        sources.read_table(spark, path, name)
+        for name in ("daily_resto", "monthly_resto", "monthly_resto_images", "monthly_resto_users")
+    )
+    view = serving.restaurant_view(3, monthly, daily, shown, visitors, s.cuisines(spark, folder))
+    return rounded(view.per_cuisine, *serving.AVERAGES, "days_active")
+
+
 # Serving
 
 

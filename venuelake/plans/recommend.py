@@ -53,7 +53,7 @@ def open_places(
     """``(restaurantId, latitude, longitude)`` of the restaurants open at ``as_of``."""
     today = weekday.where(F.col("weekday") == weekday_name(as_of)).select("day_key")
     running = hours.where(open_now(F.col("open_time"), F.col("close_time"), hour_minute(as_of), overnight))
-    ids = running.join(F.broadcast(today), "day_key").select(F.col("ra_key").alias("restaurantId")).distinct()
+    ids = running.join(today, "day_key").select(F.col("ra_key").alias("restaurantId")).distinct()
     places = restaurants.select(F.col("key").alias("restaurantId"), "latitude", "longitude")
     return places.join(ids, "restaurantId")
 

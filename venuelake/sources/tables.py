@@ -37,7 +37,13 @@ def list_tables(spark: SparkSession, folder: str) -> DataFrame:
 def write_table(
     df: DataFrame, folder: str, name: str, mode: str = "overwrite", partition_by: list[str] | None = None
 ) -> None:
-    """Overwrite (schema included) or append a table; facts may be partitioned by month."""
+    """Overwrite (schema included) or append a table; facts may be partitioned by month.
+
+    Rows are brought together by partition first, so a task does not write a small file to
+    each; Spark splits partitions that are too large for one task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
