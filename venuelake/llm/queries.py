@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from venuelake.llm import packing
+from venuelake.llm import mixing, packing
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,3 +25,56 @@ def query(function):
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    documents, positions = mixing.mix(table(spark, folder, "documents"))
+    first = positions.groupBy("row").agg(F.min("position").alias("first_position"))
+    return documents.join(first, "row", "left").select(
+        "doc_id", "size", "source_size", "target", "taken", "first_position"
+    )
+
+
+ORACLES["op10_mix_sources"] = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5(coalesce(doc_id::VARCHAR, '')) AS key
+    FROM documents
+), s AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM d GROUP BY source
+), w AS (
+    SELECT *, 1 + place % 3 AS weight, 3 * source_size AS cap,
+           sum(3 * source_size) OVER (ORDER BY 3 * source_size / (1 + place % 3), place) - 3 * source_size AS below,
+           sum(1 + place % 3) OVER (ORDER BY 3 * source_size / (1 + place % 3) DESC, place DESC) AS open,
+           sum(source_size) OVER () AS total
+    FROM s
+), level AS (
+    SELECT min_by((total - below)::DOUBLE, cap / weight) AS rest, min_by(open::DOUBLE, cap / weight) AS open
+    FROM w WHERE cap > weight * (total - below)::DOUBLE / open
+), t AS (
+    SELECT source, source_size, place,
+           coalesce(least(cap::DOUBLE, weight * rest / level.open), cap::DOUBLE) AS target
+    FROM w, level
+), r AS (
+    SELECT d.*, source_size, target, (place % 3 - 1) * 0.5::DOUBLE AS slope,
+           CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+           coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), p AS (
+    SELECT *, CASE WHEN size = 0 THEN 0
+              ELSE least(3, whole + (2 * before + size <= 2 * (target - whole * source_size))::INT) END::INT AS passes
+    FROM r
+), due AS (
+    SELECT *, least(1.0::DOUBLE, (source_size * pass + before + size / 2::DOUBLE) / target) AS share
+    FROM (SELECT *, unnest(range(passes)) AS pass FROM p)
+), placed AS (
+    SELECT doc_id, key, row_number() OVER (ORDER BY
+        2 * share / ((1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * share)), key, pass) - 1 AS position
+    FROM due
+), first AS (SELECT doc_id, min(position)::BIGINT AS first_position FROM placed GROUP BY doc_id)
+SELECT p.doc_id, size, source_size, target, (size * passes)::BIGINT AS taken, first_position
+FROM p LEFT JOIN first USING (doc_id)
+"""
