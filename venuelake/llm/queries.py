@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import mixing, packing
+from venuelake.llm import line_dedup, mixing, packing
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -78,3 +78,42 @@ WITH d AS (
 SELECT p.doc_id, size, source_size, target, (size * passes)::BIGINT AS taken, first_position
 FROM p LEFT JOIN first USING (doc_id)
 """
+
+
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    deduped = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return deduped.select("doc.doc_id", "n_lines", "n_removed", F.md5("doc.text").alias("text_md5"))
+
+
+ORACLES["op4_line_dedup"] = r"""
+WITH l AS (
+    SELECT doc_id, unnest(generate_series(1, len(p))) AS no, unnest(p) AS line
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)
+), f AS (
+    SELECT doc_id, no, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
+    FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), g AS (
+    SELECT doc_id, list(line ORDER BY no) AS lines, list(no ORDER BY no) AS nos,
+           list(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) ORDER BY no) AS words
+    FROM f GROUP BY doc_id
+), r AS (
+    SELECT DISTINCT doc_id, a, b, list_slice(lines, a, b) AS run, list_slice(nos, a, b) AS nos
+    FROM (
+        SELECT *, list_slice(words, a, b) AS w FROM (
+            SELECT *, unnest(generate_series(a, least(a + 49, len(lines)))) AS b
+            FROM (SELECT *, unnest(generate_series(1, len(lines))) AS a FROM g)
+        )
+    )
+    WHERE list_sum(w) >= 50 AND (coalesce(list_sum(w[2:]), 0) < 50 OR coalesce(list_sum(w[:-2]), 0) < 50)
+), d AS (
+    SELECT DISTINCT doc_id, unnest(nos) AS no
+    FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, a) AS copy FROM r) WHERE copy > 1
+), k AS (
+    SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.no) AS text FROM l ANTI JOIN d USING (doc_id, no) GROUP BY ALL
+)
+SELECT t.doc_id, coalesce(len(g.lines), 0)::BIGINT AS n_lines,
+       (SELECT count(*) FROM d WHERE d.doc_id = t.doc_id)::BIGINT AS n_removed,
+       CASE WHEN t.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS text_md5
+FROM documents t LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
