@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import line_dedup, mixing, packing
+from venuelake.llm import line_dedup, mixing, packing, sharding
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -117,3 +117,25 @@ SELECT t.doc_id, coalesce(len(g.lines), 0)::BIGINT AS n_lines,
        CASE WHEN t.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS text_md5
 FROM documents t LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+
+@query
+def op5_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, folder, "documents")).drop("row")
+
+
+ORACLES["op5_extendible_shards"] = """
+WITH d AS (
+    SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS bytes,
+           lpad(bin(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT), 60, '0') AS bits
+    FROM documents
+), p AS (
+    SELECT d.*, n, substr(bits, 1, n) AS shard FROM d, range(40) t(n)
+), s AS (
+    SELECT shard, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows FROM p GROUP BY shard
+), f AS (
+    SELECT p.*, shard_bytes, shard_rows, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS place
+    FROM p JOIN s USING (shard) WHERE shard_bytes <= 2097152 OR shard_rows = 1
+)
+SELECT doc_id, bytes, shard, shard_bytes, shard_rows FROM f WHERE place = 1
+"""
