@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import line_dedup, mixing, packing, sharding
+from venuelake.llm import line_dedup, mixing, packing, sharding, toxicity
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -139,3 +139,9 @@ WITH d AS (
 )
 SELECT doc_id, bytes, shard, shard_bytes, shard_rows FROM f WHERE place = 1
 """
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
+    return scored.select("doc.doc_id", "held_out", "score", "predicted")
