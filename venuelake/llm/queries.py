@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import line_dedup, mixing, packing, sharding, toxicity
+from venuelake.llm import licenses, line_dedup, mixing, packing, sharding, toxicity
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -145,3 +145,12 @@ SELECT doc_id, bytes, shard, shard_bytes, shard_rows FROM f WHERE place = 1
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score_documents(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"))
     return scored.select("doc.doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The table has no paths; each source is taken as a tree of folders of 1,000 and 100 documents."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 100"), "doc_id")
+    found = licenses.scan(docs.select("doc_id", "text", path.alias("path")), "path")
+    return found.withColumnRenamed("id", "doc_id").withColumn("cosine", F.round("cosine", 6))

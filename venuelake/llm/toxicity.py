@@ -9,6 +9,7 @@ A logistic function of the weights of the matched clauses, by outcome, is the sc
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +33,7 @@ BEGINNINGS = (4, 5, 6)
 #: Words after a negation or a target within which they reach an insult.
 REACH = 3
 MEMO_WORDS = 300_000
-STRIP = ".,!?;:\"'()[]{}«»„“”¿¡…"
+STRIP = string.punctuation + "«»„“”¿¡…–—"
 CLAUSE_END = (".", "!", "?", ";", ":")
 
 TARGETS = set("you your you're u ur du dich dir ihr euch dein deine tu te toi vous ton ta usted ustedes ti tú vos".split())
