@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import licenses, line_dedup, mixing, packing, sharding, toxicity
+from venuelake.llm import language_model, licenses, line_dedup, mixing, packing, sharding, toxicity
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -154,3 +154,8 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     path = F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 100"), "doc_id")
     found = licenses.scan(docs.select("doc_id", "text", path.alias("path")), "path")
     return found.withColumnRenamed("id", "doc_id").withColumn("cosine", F.round("cosine", 6))
+
+
+@query
+def op6_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_documents(table(spark, folder, "documents"))

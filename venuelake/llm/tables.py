@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def id_remainder(column: str | Column, modulus: int) -> Column:
 def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold at most ``limit`` bytes, or one row."""
     column = batch.column(text)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     start = total = 0
     for at, size in enumerate(sizes):
         if at > start and total + size > limit:
