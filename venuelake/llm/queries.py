@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import language_model, licenses, line_dedup, mixing, packing, sharding, toxicity
+from venuelake.llm import language_model, licenses, line_dedup, mixing, packing, sharding, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -159,3 +159,22 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), "vec_id % 20 = 0")
+
+
+ORACLES["op3_exact_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
