@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import language_model, licenses, line_dedup, mixing, near_vectors, packing, sharding, topk, toxicity
+from venuelake.llm import jaccard, language_model, licenses, line_dedup, mixing, near_vectors, packing, sharding, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -183,3 +183,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query
 def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
