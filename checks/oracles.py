@@ -363,7 +363,8 @@ CATALOG = {
 oracle("image_catalog", "SELECT * FROM catalog", CATALOG)
 oracle(
     "external_images",
-    "SELECT key AS ra_key, image_file, source FROM catalog JOIN restaurants ON google_key = 'go' || key", CATALOG,
+    """SELECT sha256(image_file || chr(31) || key) AS image_id, key AS ra_key, image_file, source
+    FROM catalog JOIN restaurants ON google_key = 'go' || key""", CATALOG,
 )
 
 # Mutation
@@ -425,9 +426,14 @@ oracle(
 )
 oracle(
     "opening_hours_upsert",
-    """SELECT ra_key, day_key, open_time, close_time + CASE WHEN open_time >= 1500 THEN 100 ELSE 0 END AS close_time
-    FROM hours""",
-    CHANGES,
+    """SELECT * FROM all_hours WHERE ra_key % 3 <> 0 UNION ALL SELECT * FROM (
+        SELECT DISTINCT ra_key, day_key, open_time, close_time + 100 AS close_time FROM all_hours WHERE ra_key % 3 = 0
+        UNION SELECT ra_key, NULL, 0, NULL FROM all_hours WHERE ra_key % 3 = 0)""",
+    {
+        "all_hours": """SELECT CAST(substr(p_brand, 7) AS BIGINT) AS ra_key, CAST(p_size % 7 AS INTEGER) AS day_key,
+        CAST((8 + p_partkey % 12) * 100 AS INTEGER) AS open_time,
+        CAST((12 + p_partkey % 12) * 100 + 30 AS INTEGER) AS close_time FROM part"""
+    },
 )
 oracle("delete_where", "SELECT * FROM users WHERE age >= 50 OR age IS NULL")
 oracle(
@@ -518,37 +524,67 @@ oracle(
 oracle(
     "build_reviews",
     """SELECT key AS ra_key, n_chars AS time, CAST(n_chars % 5 + 1 AS VARCHAR) AS rating, NULL AS sample, text,
-        'google' AS source
+        'google' AS source,
+        'g_' || sha256(concat_ws(chr(31), key, n_chars, n_chars % 5 + 1, text)) AS review_key
     FROM documents JOIN matched ON place_id = 'p' || (doc_id * 3)""",
     VENUES,
 )
-VENUES_UPDATE = VENUES | {
-    "old": """SELECT CAST(row_number() OVER (ORDER BY place_id, ta_id, distance) - 1 AS BIGINT) AS key,
-        a.*, b.*, distance FROM near n JOIN venues_a a USING (place_id) JOIN venues_b b USING (ta_id)
-        WHERE ta_rating < 950""",
-    "open_rows": """SELECT a.*, b.*, distance FROM venues_a a LEFT JOIN near n ON a.place_id = n.place_id
-        LEFT JOIN venues_b b ON n.ta_id = b.ta_id WHERE business_status <> 'CLOSED_PERMANENTLY'""",
-    "fresh_rows": """SELECT CAST(row_number() OVER (ORDER BY place_id, ta_id NULLS FIRST) AS BIGINT)
-            + (SELECT max(key) FROM old) AS key, * FROM open_rows r
-        WHERE place_id NOT IN (SELECT place_id FROM old)""",
-    "old_rows": """SELECT * EXCLUDE (choice) FROM (
-            SELECT o.key, r.*, row_number() OVER (PARTITION BY o.key
-                ORDER BY CASE WHEN o.ta_id = r.ta_id THEN 0 ELSE 1 END, r.distance) AS choice
-            FROM open_rows r JOIN old o ON r.place_id = o.place_id) WHERE choice = 1""",
-    "update_rows": "SELECT * FROM fresh_rows UNION ALL SELECT * FROM old_rows",
-}
+
+
+def _venues_update(first: str, later: str) -> dict[str, str]:
+    """Venues built where ``first`` holds of the second source, then updated where ``later`` does."""
+    return VENUES | {
+        "old": f"""SELECT CAST(row_number() OVER (ORDER BY place_id, ta_id, distance) - 1 AS BIGINT) AS key,
+            a.*, b.*, distance FROM near n JOIN venues_a a USING (place_id) JOIN venues_b b USING (ta_id)
+            WHERE {first}""",
+        "later_b": f"SELECT n.place_id AS near_place, n.distance, b.* FROM near n JOIN venues_b b USING (ta_id) WHERE {later}",
+        "open_rows": """SELECT *, row_number() OVER (ORDER BY place_id, distance IS NULL, distance, ta_id) AS rn FROM (
+            SELECT a.*, l.* EXCLUDE (near_place) FROM venues_a a LEFT JOIN later_b l ON a.place_id = l.near_place
+            WHERE business_status <> 'CLOSED_PERMANENTLY')""",
+        "stayed": """SELECT r.rn, o.key FROM open_rows r JOIN old o ON r.place_id = o.place_id AND r.ta_id = o.ta_id""",
+        "free_keys": """SELECT place_id, key, row_number() OVER (PARTITION BY place_id ORDER BY key) AS nth
+            FROM old WHERE key NOT IN (SELECT key FROM stayed)""",
+        "open_pairs": """SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY rn) AS nth
+            FROM open_rows WHERE rn NOT IN (SELECT rn FROM stayed)""",
+        "moved": "SELECT o.rn, f.key FROM open_pairs o LEFT JOIN free_keys f ON o.place_id = f.place_id AND o.nth = f.nth",
+        "row_keys": """SELECT rn, key FROM stayed UNION ALL SELECT rn, key FROM moved WHERE key IS NOT NULL UNION ALL
+            SELECT rn, CAST(row_number() OVER (ORDER BY rn) + (SELECT max(key) FROM old) AS BIGINT) FROM moved WHERE key IS NULL""",
+        "update_rows": "SELECT k.key, r.* EXCLUDE (rn) FROM open_rows r JOIN row_keys k ON r.rn = k.rn",
+        "left_rows": """SELECT * FROM old WHERE key NOT IN (SELECT key FROM update_rows)
+            AND place_id NOT IN (SELECT place_id FROM open_rows)""",
+        "old_meals": """SELECT *, CAST(dense_rank() OVER (ORDER BY meals) - 1 AS BIGINT) AS meal_key FROM
+            (SELECT key AS restaurant_key, trim(unnest(string_split(ta_meals, ','))) AS meals FROM old)""",
+    }
+
+
+VENUES_UPDATE = _venues_update("ta_rating < 950", "true")
+VENUES_PARTNERS = _venues_update("ta_rating < 950", "ta_rating >= 300")
+RESTAURANT = """key, place_id AS go_key, ta_id AS ta_key, "name" AS restaurant_name, vicinity AS address, latitude, longitude,
+    'www.' || p_partkey AS website, p_partkey || '@mail.example' AS email, '+34 ' || p_partkey AS telephone,
+    CASE WHEN NOT isnan(price_level) THEN price_level ELSE CAST(ta_level AS DOUBLE) END AS price"""
+UPDATED_RESTAURANTS = f"""SELECT {RESTAURANT}, 0 AS closed, CAST(NULL AS VARCHAR) AS closed_time FROM update_rows
+    UNION ALL SELECT {RESTAURANT}, CASE WHEN business_status = 'CLOSED_PERMANENTLY' THEN 1 ELSE 0 END,
+        CASE WHEN business_status = 'CLOSED_PERMANENTLY' THEN '2024-03-06 00:00:00' END FROM left_rows"""
+UPDATED_MEALS = """SELECT restaurant_key, meals, meal_key FROM old_meals
+        WHERE restaurant_key IN (SELECT key FROM left_rows)
+    UNION ALL SELECT n.restaurant_key, n.meals, coalesce(k.meal_key, -1)
+    FROM (SELECT key AS restaurant_key, trim(unnest(string_split(ta_meals, ','))) AS meals FROM update_rows) n
+    LEFT JOIN (SELECT DISTINCT meals, meal_key FROM old_meals) k ON n.meals = k.meals"""
+oracle("update_restaurants", UPDATED_RESTAURANTS, VENUES_UPDATE)
+oracle("update_partners", UPDATED_RESTAURANTS, VENUES_PARTNERS)
 oracle(
-    "update_restaurants",
-    """SELECT key, place_id AS go_key, ta_id AS ta_key,
-        CASE WHEN NOT isnan(price_level) THEN price_level ELSE CAST(ta_level AS DOUBLE) END AS price, 0 AS closed
-    FROM update_rows UNION ALL
-    SELECT key, place_id, ta_id, CASE WHEN NOT isnan(price_level) THEN price_level ELSE CAST(ta_level AS DOUBLE) END,
-        CASE WHEN business_status = 'CLOSED_PERMANENTLY' THEN 1 ELSE 0 END
-    FROM old WHERE key NOT IN (SELECT key FROM update_rows)""",
+    "update_ratings",
+    """SELECT key AS ra_key, rating, 'google' AS source, 1709596800::BIGINT AS "timestamp" FROM old WHERE NOT isnan(rating)
+    UNION ALL SELECT key, ta_rating, 'tripadvisor', 1709596800 FROM old
+    UNION ALL SELECT key, rating, 'google', 1709683200 FROM update_rows WHERE NOT isnan(rating)
+    UNION ALL SELECT key, ta_rating, 'tripadvisor', 1709683200 FROM update_rows WHERE ta_rating IS NOT NULL""",
     VENUES_UPDATE,
 )
+oracle("update_meals", UPDATED_MEALS, VENUES_UPDATE)
+oracle("update_partner_meals", UPDATED_MEALS, VENUES_PARTNERS)
+oracle("job_update_restaurants", UPDATED_RESTAURANTS, VENUES_UPDATE)
 oracle(
-    "update_ratings",
+    "job_update_ratings",
     """SELECT key AS ra_key, rating, 'google' AS source, 1709596800::BIGINT AS "timestamp" FROM old WHERE NOT isnan(rating)
     UNION ALL SELECT key, ta_rating, 'tripadvisor', 1709596800 FROM old
     UNION ALL SELECT key, rating, 'google', 1709683200 FROM update_rows WHERE NOT isnan(rating)
@@ -556,16 +592,41 @@ oracle(
     VENUES_UPDATE,
 )
 oracle(
-    "update_meals",
-    """SELECT restaurant_key, meals, meal_key FROM old_meals
-        WHERE restaurant_key NOT IN (SELECT key FROM update_rows WHERE ta_meals IS NOT NULL)
-    UNION ALL SELECT n.restaurant_key, n.meals, coalesce(k.meal_key, -1)
-    FROM (SELECT key AS restaurant_key, trim(unnest(string_split(ta_meals, ','))) AS meals FROM update_rows) n
-    LEFT JOIN (SELECT DISTINCT meals, meal_key FROM old_meals) k ON n.meals = k.meals""",
+    "job_details_reviews",
+    """SELECT DISTINCT key AS ra_key, n_chars AS time, CAST(n_chars % 5 + 1 AS VARCHAR) AS rating, NULL AS sample, text,
+        'google' AS source,
+        'g_' || sha256(concat_ws(chr(31), key, n_chars, n_chars % 5 + 1, text)) AS review_key
+    FROM documents JOIN matched ON place_id = 'p' || (doc_id * 3)""",
+    VENUES,
+)
+oracle(
+    "job_details_hours",
+    """SELECT DISTINCT key AS ra_key, p.p_size % 7 AS day_key, 900 AS open_time, 2100 AS close_time
+    FROM matched m JOIN part p ON m.place_id = 'p' || p.p_partkey""",
+    VENUES,
+)
+oracle(
+    "job_images",
+    """SELECT DISTINCT sha256(image_file || chr(31) || key) AS image_id, key AS ra_key, image_file, source
+    FROM catalog JOIN restaurants ON google_key = 'go' || key""",
+    CATALOG,
+)
+oracle(
+    "job_delete",
+    """SELECT table_name, key, count(*)::BIGINT AS "rows" FROM (
+        SELECT 'restaurants' AS table_name, key FROM live
+        UNION ALL SELECT 'meals', restaurant_key FROM (SELECT restaurant_key FROM old_meals WHERE restaurant_key IN (SELECT key FROM left_rows)
+            UNION ALL SELECT key, FROM (SELECT key, unnest(string_split(ta_meals, ',')) FROM update_rows)) WHERE restaurant_key IN (SELECT key FROM live)
+        UNION ALL SELECT 'cuisines', key FROM (SELECT key, unnest(string_split(p_name, ' ')) FROM update_rows
+            UNION ALL SELECT key, unnest(string_split(p_name, ' ')) FROM left_rows) WHERE key IN (SELECT key FROM live)
+        UNION ALL SELECT 'rating', key FROM (SELECT key FROM old WHERE NOT isnan(rating) UNION ALL SELECT key FROM old
+            UNION ALL SELECT key FROM update_rows WHERE NOT isnan(rating)
+            UNION ALL SELECT key FROM update_rows WHERE ta_rating IS NOT NULL) WHERE key IN (SELECT key FROM live)
+    ) GROUP BY ALL""",
     VENUES_UPDATE
     | {
-        "old_meals": """SELECT *, CAST(dense_rank() OVER (ORDER BY meals) - 1 AS BIGINT) AS meal_key FROM
-        (SELECT key AS restaurant_key, trim(unnest(string_split(ta_meals, ','))) AS meals FROM old)"""
+        "live": """SELECT key FROM update_rows UNION ALL
+            SELECT key FROM left_rows WHERE business_status IS DISTINCT FROM 'CLOSED_PERMANENTLY'"""
     },
 )
 oracle(
@@ -612,6 +673,7 @@ GRAPH = {
         UNION SELECT 'Opening_hours', {BRAND} || ':' || (p_size % 7) FROM part""",
 }
 oracle("graph_nodes", "SELECT label, id FROM graph_node", GRAPH)
+oracle("graph_written", "SELECT label, id FROM graph_node", GRAPH)
 oracle("graph_node_lookup", "SELECT label, id FROM graph_node WHERE label = 'User' AND id = '8'", GRAPH)
 oracle(
     "graph_node_properties",
@@ -676,14 +738,13 @@ oracle(
     WHERE round(v::FLOAT::DOUBLE, 4) <> 0""",
     EMBEDDING,
 )
-oracle(
-    "knn_exact",
-    """SELECT id, neighbor, cosine FROM (SELECT a.vec_id AS id, b.vec_id AS neighbor,
+KNN = """SELECT id, neighbor, cosine FROM (SELECT a.vec_id AS id, b.vec_id AS neighbor,
             round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cosine,
             row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.embedding::DOUBLE[],
                 b.embedding::DOUBLE[]), 6) DESC, b.vec_id) AS n
-        FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE n <= 10""",
-)
+        FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) WHERE n <= 10"""
+oracle("knn_exact", KNN)
+oracle("knn_many_cells", KNN)
 oracle(
     "similar_restaurants",
     """SELECT src, dst, round((1 + cosine) / 2, 4) AS score FROM (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,11 @@ from venuelake.operators import mutate, spatial
 from venuelake.operators.neighbors import nearest
 from venuelake.operators.normalize import explode_values, keyed_values, normalize
 from venuelake.operators.propagate import embed
-from venuelake.plans import app_data, graph, marts, recommend, serving, warehouse
+from venuelake.plans import app_data, graph, jobs, marts, recommend, serving, warehouse
 from venuelake.session import durable, scratch_path
 from venuelake.sources import images as image_files
 from venuelake.sources import tables as sources
+from venuelake.sources.lake import publish, read_current
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -435,7 +437,7 @@ def external_images(spark: SparkSession, folder: str) -> DataFrame:
     built = warehouse.build_external_images(
         image_files.image_catalog(_image_paths(spark, folder)), s.restaurants(spark, folder)
     )
-    return built.drop("image_id")
+    return built
 
 
 # Mutation
@@ -517,11 +519,15 @@ def rating_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def opening_hours_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    hours = s.opening_hours(spark, folder).groupBy("ra_key", "day_key", "open_time").agg(
-        F.max("close_time").alias("close_time")
+    """A third of the venues loaded again, each with several periods a day and one that never closes, twice."""
+    hours = s.opening_hours(spark, folder)
+    again = hours.where("ra_key % 3 = 0")
+    always = again.select(
+        "ra_key", F.lit(None).cast("int").alias("day_key"), F.lit(0).alias("open_time"),
+        F.lit(None).cast("int").alias("close_time"),
     )
-    later = hours.where("open_time >= 1500").withColumn("close_time", F.col("close_time") + 100)
-    return warehouse.update_opening_hours(hours, later)
+    later = again.withColumn("close_time", F.col("close_time") + 100).unionByName(always)
+    return warehouse.update_opening_hours(warehouse.update_opening_hours(hours, later), later)
 
 
 @query
@@ -645,28 +651,34 @@ def build_michelin(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.build_michelin(_matched(spark, folder), awards, "Barcelona").drop("year")
 
 
-@query
-def build_opening_hours(spark: SparkSession, folder: str) -> DataFrame:
-    periods = s.given(spark, folder, "part").select(
+def _parsed_periods(spark: SparkSession, folder: str) -> DataFrame:
+    return s.given(spark, folder, "part").select(
         F.concat(F.lit("p"), F.col("p_partkey")).alias("google_key"), (F.col("p_size") % 7).alias("day"),
         F.lit(900).alias("open_time"), F.lit(2100).alias("close_time"), (F.col("p_size") % 7).alias("open_day"),
     )
-    restaurants = warehouse.build_restaurants(_matched(spark, folder))
-    return warehouse.build_opening_hours(periods, restaurants)
 
 
 @query
-def build_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    reviews = s.given(spark, folder, "documents").select(
+def build_opening_hours(spark: SparkSession, folder: str) -> DataFrame:
+    restaurants = warehouse.build_restaurants(_matched(spark, folder))
+    return warehouse.build_opening_hours(_parsed_periods(spark, folder), restaurants)
+
+
+def _parsed_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    return s.given(spark, folder, "documents").select(
         (F.col("n_chars") % 5 + 1).cast("int").alias("google_rating"), "text", F.col("n_chars").alias("time"),
         F.concat(F.lit(" p"), F.col("doc_id") * 3, F.lit(" ")).alias("google_key"),
     )
+
+
+@query
+def build_reviews(spark: SparkSession, folder: str) -> DataFrame:
     restaurants = warehouse.build_restaurants(_matched(spark, folder))
-    return warehouse.build_reviews(reviews, restaurants).drop("review_key")
+    return warehouse.build_reviews(_parsed_reviews(spark, folder), restaurants)
 
 
-def _updated(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """A warehouse built from some venues of the second source, then updated with all."""
+def _updated(spark: SparkSession, folder: str, later: str = "true") -> dict[str, DataFrame]:
+    """A warehouse built from some venues of the second source, then updated with others."""
     first = durable(
         warehouse.match_venues(s.venues_a(spark, folder), s.venues_b(spark, folder).where("ta_rating < 950"))
     )
@@ -675,13 +687,24 @@ def _updated(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "restaurants": warehouse.build_restaurants(first), "cuisines": warehouse.build_cuisines(first),
         "meals": warehouse.build_meals(first), "rating": warehouse.build_ratings(first, day),
     }
-    later = F.lit("2024-03-06").cast("timestamp_ntz")
-    return warehouse.update_warehouse(tables, s.venues_a(spark, folder), s.venues_b(spark, folder), later)
+    next_day = F.lit("2024-03-06").cast("timestamp_ntz")
+    partners = s.venues_b(spark, folder).where(later)
+    return warehouse.update_warehouse(tables, s.venues_a(spark, folder), partners, next_day)
+
+
+def _restaurant_rows(restaurants: DataFrame) -> DataFrame:
+    return restaurants.withColumn("closed_time", F.date_format("closed_time", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
 def update_restaurants(spark: SparkSession, folder: str) -> DataFrame:
-    return _updated(spark, folder)["restaurants"].select("key", "go_key", "ta_key", "price", "closed")
+    return _restaurant_rows(_updated(spark, folder)["restaurants"])
+
+
+@query
+def update_partners(spark: SparkSession, folder: str) -> DataFrame:
+    """Known venues that gain partners, lose some or lose all."""
+    return _restaurant_rows(_updated(spark, folder, "ta_rating >= 300")["restaurants"])
 
 
 @query
@@ -694,6 +717,11 @@ def update_meals(spark: SparkSession, folder: str) -> DataFrame:
     return _updated(spark, folder)["meals"]
 
 
+@query
+def update_partner_meals(spark: SparkSession, folder: str) -> DataFrame:
+    return _updated(spark, folder, "ta_rating >= 300")["meals"]
+
+
 @query
 def delete_closed(spark: SparkSession, folder: str) -> DataFrame:
     matched = durable(_matched(spark, folder))
@@ -707,6 +735,75 @@ def delete_closed(spark: SparkSession, folder: str) -> DataFrame:
     return kept["cuisines"].select("restaurant_key", "cuisine")
 
 
+# Jobs that write, each run twice
+
+
+def _loaded(spark: SparkSession, folder: str) -> str:
+    lake = scratch_path(spark, "lake")
+    day = F.lit("2024-03-05").cast("timestamp_ntz")
+    jobs.load_warehouse(spark, lake, s.venues_a(spark, folder), s.venues_b(spark, folder).where("ta_rating < 950"), day)
+    return lake
+
+
+def _update_twice(spark: SparkSession, folder: str) -> str:
+    lake = _loaded(spark, folder)
+    for _ in range(2):
+        next_day = F.lit("2024-03-06").cast("timestamp_ntz")
+        jobs.update_warehouse(spark, lake, s.venues_a(spark, folder), s.venues_b(spark, folder), next_day)
+    return lake
+
+
+@query
+def job_update_restaurants(spark: SparkSession, folder: str) -> DataFrame:
+    return _restaurant_rows(read_current(spark, _update_twice(spark, folder), "restaurants"))
+
+
+@query
+def job_update_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    return read_current(spark, _update_twice(spark, folder), "rating")
+
+
+def _details_twice(spark: SparkSession, folder: str) -> str:
+    lake = scratch_path(spark, "lake")
+    jobs.load_warehouse(spark, lake, s.venues_a(spark, folder), s.venues_b(spark, folder))
+    for _ in range(2):
+        jobs.add_details(spark, lake, _parsed_reviews(spark, folder), _parsed_periods(spark, folder))
+    return lake
+
+
+@query
+def job_details_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    return read_current(spark, _details_twice(spark, folder), "long_review")
+
+
+@query
+def job_details_hours(spark: SparkSession, folder: str) -> DataFrame:
+    return read_current(spark, _details_twice(spark, folder), "opening_hours")
+
+
+@query
+def job_images(spark: SparkSession, folder: str) -> DataFrame:
+    lake = scratch_path(spark, "lake")
+    publish(s.restaurants(spark, folder).withColumn("go_key", F.concat(F.lit("go"), "key")), lake, "restaurants")
+    for _ in range(2):
+        jobs.add_images(spark, lake, image_files.image_catalog(_image_paths(spark, folder)))
+    return read_current(spark, lake, "images_external")
+
+
+@query
+def job_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of restaurants, cuisines, meals and ratings after closed venues were deleted twice."""
+    lake = _update_twice(spark, folder)
+    for _ in range(2):
+        jobs.delete_closed(spark, lake)
+    keys = {"restaurants": "key", "cuisines": "restaurant_key", "meals": "restaurant_key", "rating": "ra_key"}
+    parts = [
+        read_current(spark, lake, name).select(F.lit(name).alias("table_name"), F.col(key).alias("key"))
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionAll, parts).groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # Graph
 
 
@@ -761,6 +858,15 @@ def graph_node_properties(spark: SparkSession, folder: str) -> DataFrame:
     return graph.node_tables(_graph_tables(spark, folder))["Cuisines"][0]
 
 
+@query
+def graph_written(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes read back from the graph that a job wrote twice."""
+    lake = scratch_path(spark, "graph")
+    for _ in range(2):
+        jobs.write_graph(spark, lake, _graph_tables(spark, folder))
+    return read_current(spark, lake, "graph_nodes")
+
+
 @query
 def graph_edges_bag(spark: SparkSession, folder: str) -> DataFrame:
     _, edges = _graph(spark, folder)
@@ -812,6 +918,12 @@ def knn_exact(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(s.given(spark, folder, "embeddings"), 10, "vec_id")
 
 
+@query
+def knn_many_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with small tiles, so that cells are ruled out."""
+    return nearest(s.given(spark, folder, "embeddings"), 10, "vec_id", tile_rows=50, max_pivots=20)
+
+
 @query
 def similar_restaurants(spark: SparkSession, folder: str) -> DataFrame:
     nodes, edges = _graph(spark, folder)

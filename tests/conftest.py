@@ -31,11 +31,4 @@ def many_hot_keys(monkeypatch):
     from venuelake.operators import skew
 
     monkeypatch.setattr(skew, "HOT_ROWS", 0)
-
-
-@pytest.fixture
-def large_groups(monkeypatch):
-    """Every group counts as too large for one task."""
-    from venuelake.operators import ranking
-
-    monkeypatch.setattr(ranking, "LARGE_GROUP", 0)
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)

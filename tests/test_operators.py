@@ -47,8 +47,31 @@ def test_hot_keys_are_few_and_large(spark, hot, monkeypatch):
     assert "_salt" in skew.skew_join(hot, hot.select("k").distinct(), ["k"])._jdf.queryExecution().toString()
 
 
+def test_parts_follow_the_rows_of_a_key(spark, monkeypatch):
+    """A third of the rows in one key, all of them equal, and thousands of hot keys."""
+    monkeypatch.setattr(skew, "HOT_ROWS", 4)
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    left = spark.range(60_000).selectExpr("case when id % 3 = 0 then -1 else id % 5000 end as k", "1 as v")
+    hot = skew.hot_keys(left, ["k"])
+    assert len(hot) == 5001 and max(r["_parts"] for r in hot) == 200
+    right = left.select("k").distinct().withColumn("name", F.concat(F.lit("n"), "k"))
+    joined = skew.skew_join(left, right, ["k"])
+    assert joined.count() == 60_000
+    salts = skew._spread(left.where("k = -1")).select(skew._part(F.lit(200)).alias("p")).groupBy("p").count()
+    assert salts.count() == 200 and salts.agg(F.max("count")).first()[0] <= 200
+
+
+def test_pairs_of_a_dense_cell_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_PAIRS", 250_000)
+    left = spark.range(5000).selectExpr("1 as k", "id as a")
+    right = spark.range(5000).selectExpr("1 as k", "id as b")
+    row = skew.pair_parts(left, right, ["k"]).first()
+    assert row["_rows"] * row["_columns"] >= 100
+    assert skew.skew_join_both(left, right, ["k"]).agg(F.count(F.lit(1)), F.sum("a")).first()[0] == 25_000_000
+
+
 @pytest.mark.parametrize("group", [["g"], []])
-def test_ranks_across_slices(spark, large_groups, group):
+def test_ranks_across_slices(spark, group):
     picks = random.Random(2)
     data = [(picks.choice([None, 1, 1, 1, 2]), picks.choice([None, *range(9)]), i) for i in range(2000)]
     df = spark.createDataFrame(data, "g int, v int, id int")
@@ -91,8 +114,18 @@ def test_upsert(spark):
 def test_upsert_with_repeated_key_raises(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     source = spark.createDataFrame([(5, "x"), (5, "y")], "k int, v string")
-    with pytest.raises(Exception, match="repeats a key"):
-        mutate.upsert(target, source, ["k"]).collect()
+    changed = mutate.upsert(target, source, ["k"])
+    for run in (changed.collect, changed.select("k").collect, changed.count):
+        with pytest.raises(Exception, match="repeats a key"):
+            run()
+
+
+def test_upsert_reads_its_target_once(spark, tmp_path):
+    spark.range(10).selectExpr("id as k", "id as v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(5, 15).selectExpr("id as k", "-id as v")
+    plan = mutate.upsert(target.where("k is not null"), source, ["k"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FullOuter") == 1
 
 
 def test_delete_keeps_unknown(spark):
@@ -110,7 +143,7 @@ def test_cascade_delete(spark, many_hot_keys):
     assert none.count() == 3 and children["child"].count() == 4
 
 
-def test_assign_keys(spark, large_groups):
+def test_assign_keys(spark):
     rows_ = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
     existing = spark.createDataFrame([("b", 7)], "name string, key long")
     got = mutate.assign_keys(rows_, existing, ["name"], ["name"])
@@ -119,7 +152,7 @@ def test_assign_keys(spark, large_groups):
     assert {r["name"]: r["key"] for r in fresh.collect()} == {"a": 0, "b": 1, "c": 2}
 
 
-def test_normalize_and_join_back(spark, many_hot_keys, large_groups):
+def test_normalize_and_join_back(spark, many_hot_keys):
     data = [(1, ["x", "y", "x"]), (2, []), (3, None), (4, ["y"])]
     df = spark.createDataFrame(data, "id int, tags array<string>")
     parent, values, bridge = normalize(df, "tags", "tag", "image")
@@ -195,6 +228,18 @@ def test_neighbors_equal_brute_force(spark, tiles, many_hot_keys):
     assert got == _brute_neighbors([i for i, _ in data], vectors, 4)
 
 
+@pytest.mark.parametrize("spread", [0.0005, 0.02, 1.0])
+@pytest.mark.parametrize("pivots", [1, 6, 20])
+def test_neighbors_of_tight_clusters(spark, spread, pivots):
+    """Near copies whose similarities tie once rounded, in several cells."""
+    picks = np.random.default_rng(11)
+    vectors = picks.normal(size=6) + picks.normal(scale=spread, size=(300, 6))
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(data, "id int, embedding array<double>")
+    got = {tuple(r) for r in nearest(df, 5, tile_rows=20, max_pivots=pivots).collect()}
+    assert got == _brute_neighbors([i for i, _ in data], vectors, 5)
+
+
 def test_neighbors_of_few_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0])], "id int, embedding array<double>")
     assert {(r["id"], r["neighbor"]) for r in nearest(df, 5).collect()} == {(1, 2), (2, 1)}

@@ -245,3 +245,41 @@ def test_daily_distinct_users_are_spread_over_users(spark):
     plan = marts.daily_stats(swipes, images)._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(restaurantId" in line]
     assert any("userId" in line for line in exchanges)
+
+
+def test_table_listing_of_an_absent_folder(spark, tmp_path):
+    from venuelake.sources import tables
+
+    source, target = str(tmp_path / "source"), str(tmp_path / "none")
+    spark.range(3).write.parquet(f"{source}/t")
+    assert tables.table_names(spark, target) == [] and tables.copy_missing(spark, source, target) == ["t"]
+    assert tables.copy_missing(spark, source, target) == [] and tables.table_names(spark, target) == ["t"]
+
+
+def test_publish_reads_its_own_old_rows(spark, tmp_path):
+    from venuelake.sources import lake
+
+    folder = str(tmp_path)
+    assert lake.current_path(spark, folder, "t") is None
+    lake.publish(spark.range(3), folder, "t")
+    for _ in range(2):
+        lake.publish(lake.read_current(spark, folder, "t").selectExpr("id + 1 as id"), folder, "t")
+    assert sorted(r.id for r in lake.read_current(spark, folder, "t").collect()) == [2, 3, 4]
+
+
+def test_workers_find_the_package_from_another_folder(tmp_path):
+    """Functions that run in Python workers need the package there: ``ship`` sends it along."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = (
+        f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})\n"
+        "from venuelake.session import build_session, ship\n"
+        "spark = build_session('away', 'local[2]', **{'spark.ui.enabled': 'false'}); ship(spark)\n"
+        "from venuelake.operators.neighbors import nearest\n"
+        "df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0])], 'id int, embedding array<double>')\n"
+        "print('found', nearest(df, 1).count())\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "found 2" in done.stdout, done.stderr[-2000:]

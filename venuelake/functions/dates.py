@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,11 @@ def moment(as_of: Moment = None) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
+def resolved(as_of: Moment = None) -> Moment:
+    """``as_of``, or the time of this call in UTC: the same in all later actions."""
+    return datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else as_of
+
+
 def day_epoch(day: Column) -> Column:
     """Epoch seconds at the start of a UTC day."""
     return F.unix_date(day).cast("bigint") * SECONDS_PER_DAY

@@ -22,28 +22,6 @@ def _any_null(columns: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
-def one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
-    """``source`` unchanged if no key repeats; running it raises otherwise.
-
-    Rows with a null in the key match nothing, so they may repeat.
-    """
-    rest = [c for c in source.columns if c not in keys]
-    checked = (
-        source.where(~_any_null(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(F.lit(1).alias("_one"), *rest)).alias("_row"))
-        .withColumn(
-            "_row",
-            F.when(F.col("_rows") == 1, F.col("_row")).otherwise(
-                F.raise_error(F.lit(f"upsert source repeats a key of {keys}"))
-            ),
-        )
-        .select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
-        .select(*source.columns)
-    )
-    return checked.unionByName(source.where(_any_null(keys)))
-
-
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -53,29 +31,40 @@ def upsert(
     """Rows of ``source`` replace rows of ``target`` with the same key, or are added.
 
     With ``update_columns`` a matched row takes only these from ``source``. Columns that
-    ``source`` lacks are null in added rows. A key that ``source`` repeats raises.
-    Joining the target against the (usually much smaller) source lets Spark broadcast
-    the source and leave the target where it is.
+    ``source`` lacks are null in added rows. A key that ``source`` repeats raises, whatever
+    columns are asked for; rows with a null in the key match nothing, so they may repeat.
+    One full outer join reads each side once; rows without a key stay out of it.
     """
-    source = one_row_per_key(source, keys)
-    if update_columns is None:
-        kept = target.join(source.select(*keys), keys, "left_anti")
-        return kept.unionByName(source, allowMissingColumns=True).select(*target.columns)
-    news = source.select(
-        *keys, F.struct(F.lit(1).alias("_one"), *update_columns).alias("_new")
+    nullable = [c for c in target.columns if c not in keys]
+    rest = [c for c in source.columns if c not in keys]
+    news = source.where(~_any_null(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(F.lit(1).alias("_one"), *rest)).alias("_new")
     )
-    updated = target.join(news, keys, "left").select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(F.col(c)).alias(c)
-            if c in update_columns
-            else F.col(c)
-            for c in target.columns
-        ]
+    olds = target.where(~_any_null(keys)).select(*keys, F.struct(F.lit(1).alias("_one"), *nullable).alias("_old"))
+    both = olds.join(news, keys, "full_outer")
+    taken = set(rest if update_columns is None else update_columns)
+
+    def once(column: Column) -> Column:
+        # In every column, so that no choice of columns can drop the check.
+        error = F.raise_error(F.lit(f"upsert source repeats a key of {keys}"))
+        return F.when(F.col("_rows") > 1, error).otherwise(column)
+
+    def value(name: str) -> Column:
+        old = F.col("_old").getField(name)
+        new = F.col("_new").getField(name) if name in rest else F.lit(None).cast(target.schema[name].dataType)
+        if update_columns is None:
+            return F.when(F.col("_new").isNotNull(), new).otherwise(old)
+        if name not in taken:
+            return F.when(F.col("_old").isNotNull(), old).otherwise(new)
+        return F.when(F.col("_new").isNotNull(), new).otherwise(old)
+
+    # A filter on the count, which also runs when no column is read.
+    checked = both.where(once(F.lit(True)))
+    joined = checked.select(*[(F.col(c) if c in keys else value(c)).alias(c) for c in target.columns])
+    without_key = source.where(_any_null(keys))
+    return joined.unionByName(target.where(_any_null(keys))).unionByName(without_key, allowMissingColumns=True).select(
+        *target.columns
     )
-    # Only the target's keys that the source has can keep a source row from being added.
-    known = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    added = source.join(known, keys, "left_anti")
-    return updated.unionByName(added, allowMissingColumns=True).select(*target.columns)
 
 
 def replace_groups(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

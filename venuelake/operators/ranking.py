@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from venuelake.session import durable
 
-# A group of this many rows is still sorted by one task with ease.
-LARGE_GROUP = 1_000_000
-
 
 def sort_columns(order: list[str]) -> list[Column]:
     """``"-x"`` sorts by x descending, ``"x"`` ascending."""
@@ -36,25 +33,12 @@ def rank_rows(
 ) -> DataFrame:
     """``row_number`` (by order and tie) and ``dense_rank`` (by order) within each group.
 
-    The rows are written down once. Groups of up to ``LARGE_GROUP`` rows are ranked by a
-    window each. With a larger one, which no task should hold, the rows are range
-    partitioned by group, order and tie (which together must tell rows apart), ranked
-    within each slice, and shifted by what the group's earlier slices hold.
+    Groups of any size are range partitioned by group, order and tie, which together should tell
+    rows apart. The slices are written, ranked each for itself and shifted by what the group's
+    earlier slices hold.
     """
     key = F.struct(*group) if group else F.struct(F.lit(0).alias("_all"))
-    rows = durable(df.withColumn("_group", key))
-    by_value, by_row = sort_columns(order), sort_columns([*order, *tie])
-    largest = rows.groupBy("_group").count().agg(F.max("count")).first()[0] or 0
-    if largest > LARGE_GROUP:
-        ranked = _rank_slices(rows, order, by_value, by_row)
-    else:
-        whole = Window.partitionBy("_group")
-        ranked = rows.withColumns(
-            {
-                "_row": F.row_number().over(whole.orderBy(*by_row)),
-                "_dense": F.dense_rank().over(whole.orderBy(*by_value)),
-            }
-        )
+    ranked = _rank_slices(df.withColumn("_group", key), order, sort_columns(order), sort_columns([*order, *tie]))
     ranks = {row_number: "_row", dense_rank: "_dense"}
     return ranked.select(
         *df.columns, *[F.col(rank).cast("bigint").alias(name) for name, rank in ranks.items() if name]

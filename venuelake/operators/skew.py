@@ -6,38 +6,49 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-# Hot are the HOT_SHARE largest keys, if they have more than HOT_ROWS rows: the list is
-# short enough to collect and broadcast. Any other key holds less than 1/HOT_SHARE of the
-# rows, or so few that it is no burden to one task.
-HOT_SHARE = 1000
+from venuelake.session import durable
+
+# A key with more than HOT_ROWS rows is hot and is cut into parts of about TASK_ROWS rows.
+# The hot keys are collected and broadcast, so they are the HOT_SHARE largest at most; any
+# other key holds less than 1/HOT_SHARE of the rows.
 HOT_ROWS = 1_000_000
-SALTS = 32
+TASK_ROWS = 1_000_000
+HOT_SHARE = 100_000
+# Pairs of rows of one key that a task makes.
+TASK_PAIRS = 100_000_000
+# Parts for rows without a key, which meet no row of the other side.
+NULL_PARTS = 1 << 16
 
 
 def hot_keys(df: DataFrame, keys: list[str]) -> list[Row]:
-    """The (at most ``HOT_SHARE``) largest key values, nulls too, with more than ``HOT_ROWS`` rows.
+    """The (at most ``HOT_SHARE``) largest key values, nulls too, with more than ``HOT_ROWS`` rows, and their parts.
 
     Only the key columns are read, and they are counted in the map tasks first.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     large = counts.where(F.col("_rows") > HOT_ROWS).orderBy(F.desc("_rows")).limit(HOT_SHARE)
-    return large.select(*keys).collect()
+    return large.select(*keys, F.ceil(F.col("_rows") / TASK_ROWS).alias("_parts")).collect()
+
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Add ``_at``, a number that spreads rows over parts.
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
-    return F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    Rows are numbered in an order of their content within a task, so equal rows get different
+    numbers, and a task that runs again gives the same rows the same numbers.
+    """
+    return df.sortWithinPartitions(F.xxhash64(*df.columns)).withColumn(
+        "_at", F.monotonically_increasing_id() + F.spark_partition_id()
+    )
 
 
-def _marked(df: DataFrame, hot: list[Row], keys: list[str]) -> DataFrame:
-    names = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
-    return df.join(F.broadcast(names.withColumn("_hot", F.lit(True))), keys, "left")
+def _part(parts: Column) -> Column:
+    return F.pmod(F.col("_at"), parts).cast("int")
 
 
-def _every_salt(salts: int) -> Column:
-    return F.explode(
-        F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    )
+def _every_part(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)).cast("int") - 1))
 
 
 def skew_join(
@@ -46,17 +57,16 @@ def skew_join(
     keys: list[str],
     how: str = "inner",
     counted: DataFrame | None = None,
-    salts: int = SALTS,
     hot: list[Row] | None = None,
 ) -> DataFrame:
-    """Equi-join that spreads the hot keys of ``left`` over ``salts`` tasks.
+    """Equi-join that spreads the hot keys of ``left`` over as many tasks as their rows ask for.
 
-    Rows of ``left`` with a hot key get one of ``salts`` numbers from a hash of the row;
-    the matching rows of ``right`` are repeated once per number. All other rows join as
-    usual, and no row is lost or repeated in the result. ``how`` may be inner, left,
-    left_semi or left_anti, which all keep the rows of ``left`` apart. Rows of ``left``
-    with a null key match nothing and are spread as well. Without hot keys this is a
-    plain join. A small ``right`` is broadcast by Spark after its own size check.
+    Rows of ``left`` with a hot key are dealt into the key's parts; the matching rows of
+    ``right`` are repeated once per part. All other rows join as usual, and no row is lost or
+    repeated in the result. ``how`` may be inner, left, left_semi or left_anti, which all keep
+    the rows of ``left`` apart. Rows of ``left`` with a null key match nothing and are spread as
+    well. Without hot keys this is a plain join. A small ``right`` is broadcast by Spark after
+    its own size check.
 
     ``counted`` is a cheaper frame to count the keys in than ``left``, such as the table
     that ``left`` comes from; ``hot`` is a list found before.
@@ -67,24 +77,46 @@ def skew_join(
         hot = hot_keys(seen if how in ("left", "left_anti") else seen.dropna(subset=keys), keys)
     if not hot:
         return left.join(right, keys, how)
+    schema = StructType([StructField(f.name, f.dataType) for f in left.select(*keys).schema]).add("_parts", "long")
+    parts = F.broadcast(left.sparkSession.createDataFrame(hot, schema))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.when(F.col("_hot") | no_key, _row_salt(left, salts)).otherwise(0)
-    salted = _marked(left, hot, keys).withColumn("_salt", spread).drop("_hot")
-    repeated = _marked(right, hot, keys).withColumn("_salt", _every_salt(salts)).drop("_hot")
+    own = F.when(no_key, _part(F.lit(NULL_PARTS))).when(F.col("_parts").isNotNull(), _part(F.col("_parts"))).otherwise(0)
+    salted = _spread(left).join(parts, keys, "left").withColumn("_salt", own).drop("_parts", "_at")
+    repeated = right.join(parts, keys, "left").withColumn("_salt", _every_part("_parts")).drop("_parts")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def skew_join_both(left: DataFrame, right: DataFrame, keys: list[str], salts: int = 8) -> DataFrame:
-    """Inner equi-join for keys that may be hot on both sides.
+def pair_parts(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that are hot on a side or by the pairs they make, with the parts of both sides."""
+    count = lambda df, name: df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    both = count(left, "_l").join(count(right, "_r"), keys)
+    rows, columns = (F.ceil(F.col(c) / TASK_ROWS) for c in ("_l", "_r"))
+    more = F.greatest(F.lit(1.0), F.sqrt(F.col("_l") / rows * (F.col("_r") / columns) / TASK_PAIRS))
+    large = (F.greatest("_l", "_r") > HOT_ROWS) | (F.col("_l").cast("double") * F.col("_r") > TASK_PAIRS)
+    return durable(
+        both.where(large).select(
+            *keys, F.least(F.col("_l"), F.ceil(rows * more)).alias("_rows"),
+            F.least(F.col("_r"), F.ceil(columns * more)).alias("_columns"),
+        )
+    )
 
-    A hot key is cut into a ``salts`` by ``salts`` grid: every pair of rows meets in
-    exactly one cell of it.
+
+def skew_join_both(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join for keys that may be hot on both sides, or make too many pairs for a task.
+
+    Such a key is cut into a grid: every pair of rows meets in exactly one cell of it. The list of
+    these keys grows with the data, so Spark's own size check decides how it is joined.
     """
-    hot = list({key for side in (left, right) for key in hot_keys(side.dropna(subset=keys), keys)})
-    if not hot:
+    parts = pair_parts(left, right, keys)
+    if parts.isEmpty():
         return left.join(right, keys)
-    own = lambda df: F.when(F.col("_hot"), _row_salt(df, salts)).otherwise(0)
-    rows = _marked(left, hot, keys).withColumn("_row", own(left)).withColumn("_column", _every_salt(salts))
-    columns = _marked(right, hot, keys).withColumn("_column", own(right)).withColumn("_row", _every_salt(salts))
-    joined = rows.drop("_hot").join(columns.drop("_hot"), [*keys, "_row", "_column"])
-    return joined.drop("_row", "_column")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        known = _spread(df).join(parts, keys, "left")
+        place = _part(F.coalesce(F.col(own), F.lit(1)))
+        return known.withColumn(f"{own}_at", place).withColumn(f"{other}_at", _every_part(other)).drop(
+            "_rows", "_columns", "_at"
+        )
+
+    joined = dealt(left, "_rows", "_columns").join(dealt(right, "_columns", "_rows"), [*keys, "_rows_at", "_columns_at"])
+    return joined.drop("_rows_at", "_columns_at")

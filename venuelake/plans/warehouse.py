@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from venuelake import schemas
@@ -103,14 +103,17 @@ def build_ratings(matched: DataFrame, as_of: Moment = None) -> DataFrame:
 def parse_details(details: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(reviews, opening periods, rejects)`` from the record-list text of venue details.
 
-    Text that cannot be read goes to the rejects, with the column it stood in.
+    The text is parsed once and written. Text that cannot be read goes to the rejects, with the
+    column it stood in.
     """
-    parsed = details.select(
-        text.strip_prefix(F.col("google_key")).alias("google_key"),
-        "reviews",
-        "opening_periods",
-        text.parse_reviews(F.col("reviews")).alias("_reviews"),
-        text.parse_hours(F.col("opening_periods")).alias("_periods"),
+    parsed = durable(
+        details.select(
+            text.strip_prefix(F.col("google_key")).alias("google_key"),
+            "reviews",
+            "opening_periods",
+            text.parse_reviews(F.col("reviews")).alias("_reviews"),
+            text.parse_hours(F.col("opening_periods")).alias("_periods"),
+        )
     )
     reviews = parsed.select("google_key", F.inline("_reviews")).select(
         F.col("rating").alias("google_rating"), "text", "time", "google_key"
@@ -137,9 +140,9 @@ def build_reviews(reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
     the same when more reviews are appended.
     """
     venues = restaurants.select(F.col("key").alias("ra_key"), F.trim("go_key").alias("google_key"))
-    trimmed = durable(reviews.withColumn("google_key", F.trim("google_key")))
+    trimmed = reviews.withColumn("google_key", F.trim("google_key"))
     identity = F.sha2(F.concat_ws("\x1f", "ra_key", "time", "google_rating", "text"), 256)
-    return skew_join(trimmed, venues, ["google_key"]).select(
+    return skew_join(trimmed, venues, ["google_key"], counted=trimmed.select("google_key")).select(
         "ra_key",
         F.concat(F.lit("g_"), identity).alias("review_key"),
         "time",
@@ -166,36 +169,45 @@ def build_external_images(catalog: DataFrame, restaurants: DataFrame) -> DataFra
     """Image paths by restaurant; the id is a hash of the path, so appending is repeatable."""
     venues = restaurants.select(F.col("key").alias("ra_key"), F.col("go_key").alias("google_key"))
     return skew_join(catalog, venues, ["google_key"]).select(
-        F.xxhash64("image_file", "ra_key").alias("image_id"), "ra_key", "image_file", "source"
+        F.sha2(F.concat_ws("\x1f", "image_file", "ra_key"), 256).alias("image_id"), "ra_key", "image_file", "source"
     )
 
 
 def match_for_update(venues_a: DataFrame, venues_b: DataFrame, restaurants: DataFrame, zone: int = 31) -> DataFrame:
-    """Open venues with the key they already have, or a new one; one row per key.
+    """Open venues with their partners in the second source, each pair with the key it stands for.
 
-    Venues without a partner in the second source stay. Where a key could go to several
-    rows, the pair it stood for before wins, then the nearest partner.
+    A pair that had a key keeps it. Of a venue's other pairs, in order of distance, each takes
+    one of the venue's keys whose pair is gone, in order of the key, and the rest get new keys.
+    So an update leads to the same pairs as a new build. Venues without a partner stay as one
+    row each; a key for which there is no pair left is not in the result.
     """
     still_open = venues_a.where(F.col("business_status") != schemas.CLOSED_STATUS)
-    matched = spatial.within_radius_left(still_open, venues_b, "place_id", zone=zone)
-    known = restaurants.select(
-        F.col("go_key").alias("place_id"), "key", F.col("ta_key").alias("_ta_key")
-    )
-    keyed = mutate.assign_keys(
-        matched, known, ["place_id"], ["place_id", "ta_id", "distance_m", "ta_url"]
-    )
-    pair = known.select("key", "_ta_key")
-    choice = F.struct(
-        F.coalesce(F.col("_ta_key") != F.col("ta_id"), F.lit(True)).alias("other_pair"),
-        F.col("distance_m").isNull().alias("no_distance"), "distance_m", "ta_id", "ta_url",
-    )
-    rest = [c for c in keyed.columns if c != "key"]
-    return (
-        keyed.join(pair, "key", "left")
-        .groupBy("key")
-        .agg(F.min_by(F.struct(*rest), choice).alias("_row"))
-        .select("key", *[F.col("_row").getField(c).alias(c) for c in rest])
+    matched = durable(spatial.within_radius_left(still_open, venues_b, "place_id", zone=zone))
+    order = ["place_id", "no_distance", "distance_m", "ta_id", "ta_url"]
+    numbered = rank_rows(
+        matched.withColumn("no_distance", F.col("distance_m").isNull()), [], order, [], row_number="_pair"
+    ).drop("no_distance")
+    pairs = durable(numbered)
+    ends = pairs.select("place_id", "ta_id", "_pair")
+    known = restaurants.select(F.col("go_key").alias("place_id"), F.col("ta_key").alias("ta_id"), "key").dropDuplicates(["key"])
+    # Equal pairs and equal keys of a pair meet one to one, in their order.
+    same = ["place_id", "ta_id"]
+    nth = lambda df, by, order: df.withColumn("_nth", F.row_number().over(Window.partitionBy(*by).orderBy(order)))
+    old = nth(known, same, "key").toDF("_place_id", "_ta_id", "_key", "_old_nth")
+    equal = [
+        F.col("place_id") == F.col("_place_id"), F.col("ta_id").eqNullSafe(F.col("_ta_id")), F.col("_nth") == F.col("_old_nth")
+    ]
+    stayed = durable(nth(ends, same, "_pair").join(old, equal).select(F.col("_pair").alias("_kept"), "_key"))
+    free = nth(known.join(stayed, F.col("key") == F.col("_key"), "left_anti"), ["place_id"], "key")
+    open_rows = nth(ends.join(stayed, F.col("_pair") == F.col("_kept"), "left_anti"), ["place_id"], "_pair")
+    moved = open_rows.join(free.select("place_id", "_nth", "key"), ["place_id", "_nth"], "left").select("_pair", "key")
+    taken = durable(moved)
+    new = rank_rows(taken.where("key is null").select("_pair"), [], ["_pair"], [], row_number="_place")
+    largest = F.coalesce(restaurants.agg(F.max("key")).scalar(), F.lit(-1))
+    keys = stayed.toDF("_pair", "key").unionByName(taken.where("key is not null")).unionByName(
+        new.select("_pair", (F.col("_place") + largest).alias("key"))
     )
+    return pairs.join(keys, "_pair").drop("_pair")
 
 
 def update_warehouse(
@@ -205,35 +217,47 @@ def update_warehouse(
     """New content of restaurants, cuisines, meals and rating after a load of both sources.
 
     Venues reported closed are flagged; open ones are matched again, keep their keys and
-    are upserted; their cuisines and meals are replaced; ratings are kept per day.
+    are upserted. A key of an open venue whose pair is gone is deleted. Cuisines and meals of
+    open venues are replaced, so those of a lost partner go; ratings are kept per day. "Now"
+    is read once.
     """
+    as_of = dates.resolved(as_of)
     closed = venues_a.where(F.col("business_status") == schemas.CLOSED_STATUS).select("place_id")
-    flagged = mutate.mark_closed(tables["restaurants"], closed, as_of)
     matched = durable(match_for_update(venues_a, venues_b, tables["restaurants"], zone))
+    live = matched.select(F.col("place_id").alias("go_key")).distinct()
+    of_open = tables["restaurants"].join(live, "go_key", "left_semi").select("key")
+    gone = of_open.join(matched.select("key"), "key", "left_anti")
+    updated = durable(of_open.union(matched.select("key")).distinct())
+    flagged = mutate.mark_closed(mutate.delete_keys(tables["restaurants"], "key", durable(gone)), closed, as_of)
     return {
         "restaurants": mutate.upsert(flagged, build_restaurants(matched), ["key"]),
         "cuisines": update_values(
             tables["cuisines"], _multi_values(matched, "ta_cuisine", "cuisine"), "cuisine", "cuisine_key",
-            new_value_keys,
+            new_value_keys, updated,
         ),
         "meals": update_values(
-            tables["meals"], _multi_values(matched, "ta_meals", "meals"), "meals", "meal_key", new_value_keys
+            tables["meals"], _multi_values(matched, "ta_meals", "meals"), "meals", "meal_key", new_value_keys, updated
         ),
         "rating": update_ratings(tables["rating"], build_ratings(matched, as_of)),
     }
 
 
 def update_values(
-    target: DataFrame, rows: DataFrame, column: str, key: str, new_value_keys: bool = False
+    target: DataFrame, rows: DataFrame, column: str, key: str, new_value_keys: bool = False,
+    updated: DataFrame | None = None,
 ) -> DataFrame:
-    """Replace the values of the venues in ``rows``; a value no venue had gets the unknown key.
+    """Replace the values of venues; a value no venue had gets the unknown key.
 
-    With ``new_value_keys`` it gets the next free key instead.
+    ``updated`` has the keys of the venues, by default those in ``rows``: a venue of it without
+    a row loses its values. With ``new_value_keys`` an unknown value gets the next free key instead.
     """
     known = target.select(column, key)
     dictionary = mutate.append_new_keys(known, rows, column, key) if new_value_keys else known
     keyed = mutate.lookup_key(rows, dictionary, column, key)
-    return mutate.replace_groups(target, keyed, ["restaurant_key"])
+    if updated is None:
+        return mutate.replace_groups(target, keyed, ["restaurant_key"])
+    kept = mutate.delete_keys(target, "restaurant_key", updated)
+    return kept.unionByName(keyed.select(*target.columns))
 
 
 def update_ratings(target: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -242,7 +266,18 @@ def update_ratings(target: DataFrame, ratings: DataFrame) -> DataFrame:
 
 
 def update_opening_hours(target: DataFrame, hours: DataFrame) -> DataFrame:
-    return mutate.upsert(target, hours.distinct(), ["ra_key", "day_key", "open_time"])
+    """All periods of a venue that is loaded again are replaced.
+
+    So venues that never close (no closing day) and periods that close on one day need no key
+    of their own, and a second load changes nothing.
+    """
+    return mutate.replace_groups(target, hours.distinct(), ["ra_key"])
+
+
+def append_rows(target: DataFrame, more: DataFrame, key: str) -> DataFrame:
+    """``target`` and the rows of ``more`` whose key it lacks, each once: a repeat adds none."""
+    fresh = more.join(target.select(key), key, "left_anti").dropDuplicates([key])
+    return target.unionByName(fresh.select(*target.columns))
 
 
 def delete_closed(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +35,16 @@ def build_session(app: str = "venuelake", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers of a cluster on which it is not installed."""
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="venuelake-")) / "venuelake.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for path in sorted(root.rglob("*.py")):
+            file.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -64,6 +77,22 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for a table a job writes and reads back."""
-    return f"{shared_folder(spark).rstrip('/')}/venuelake-{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, for a table a job writes and reads back.
+
+    All of an application's are in one folder, which goes when the driver ends.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _SCRATCH:
+        _SCRATCH[application] = f"{shared_folder(spark).rstrip('/')}/venuelake-{application}-{uuid.uuid4().hex}"
+        atexit.register(_drop_scratch, spark, _SCRATCH[application])
+    return f"{_SCRATCH[application]}/{name}-{uuid.uuid4().hex}"
+
+
+def _drop_scratch(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session has been stopped already
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

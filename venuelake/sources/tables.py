@@ -21,17 +21,20 @@ def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
+def table_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the tables below a folder, none if it does not exist. One level is listed, no file is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(path):
+        return []
+    hidden = ("_", ".")
+    entries = [(x.getPath().getName(), x.isDirectory()) for x in system.listStatus(path)]
+    return sorted(name for name, inner in entries if inner and not name.startswith(hidden))
+
+
 def list_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of the tables below a folder. Only paths are read, no content."""
-    paths = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(folder)
-        .select("path")
-    )
-    inner = F.substring_index("path", f"{folder.rstrip('/')}/", -1)
-    return paths.select(F.regexp_extract(inner, r"^([^/]+)/", 1).alias("name")).where("name <> ''").distinct()
+    """Names of the tables below a folder, as rows."""
+    return spark.createDataFrame([(name,) for name in table_names(spark, folder)], "name string")
 
 
 def write_table(
@@ -56,8 +59,8 @@ def copy_table(spark: SparkSession, source: str, target: str) -> None:
 
 def copy_missing(spark: SparkSession, source: str, target: str) -> list[str]:
     """Copy the tables of ``source`` that ``target`` lacks; returns their names."""
-    missing = list_tables(spark, source).exceptAll(list_tables(spark, target))
-    names = sorted(row["name"] for row in missing.collect())
+    there = set(table_names(spark, target))
+    names = [name for name in table_names(spark, source) if name not in there]
     for name in names:
         copy_table(spark, f"{source}/{name}", f"{target}/{name}")
     return names
