@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,21 @@ def test_language_model_is_a_distribution(spark):
         assert sum(entries.values()) + alpha * rest == pytest.approx(1)
 
 
+@pytest.mark.parametrize("past", ["", "a", "zz a", "c a", "a b"])
+def test_language_model_scores_are_a_distribution(spark, past):
+    """At the start of a text, after a rare word and after known contexts, over all words and what is left for the unseen."""
+    docs = spark.createDataFrame([("a b c a b d " * 20,), ("a b c x",), ("c a y",)], "text string")
+    tree, _ = language_model.learn(docs)
+    nexts = ["a", "b", "c", "d", "x", "y", "unseen"]
+    total = 0.0
+    for word in nexts:
+        tokens, place, log = language_model._in_place(tree, pa.array([f"{past} {word}"]))
+        unseen = np.log10(tree.discount * tree.types / tree.tokens)
+        total += 10 ** (log[-2] + (unseen if place[-2] < 0 else 0))
+    _, _, log = language_model._in_place(tree, pa.array([past]))
+    assert total + 10 ** log[-1] == pytest.approx(1)
+
+
 def test_licence_inheritance(spark):
     rows = [
         ("r/LICENSE", "Released under the MIT License."), ("r/a/x", "text of its own"), ("r/b/LICENSE", "All rights reserved."),

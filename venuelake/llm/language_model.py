@@ -193,8 +193,9 @@ def _in_place(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, ...]:
     place = find(tree.words, tokens)
     log = np.where(place >= 0, np.log10(np.maximum(tree.counts[place] - tree.discount, 1e-9) / max(1, tree.tokens)), 0.0) \
         if len(tree.words) else np.zeros(len(tokens))
-    for context in (_pack(before), _pack(second, before)):
-        state = find(tree.states, context)
+    for context, whole in ((_pack(before), before >= 0), (_pack(second, before), (second >= 0) & (before >= 0))):
+        # Without its first word a context packs to that of its suffix, which has been counted.
+        state = np.where(whole, find(tree.states, context), -1)
         hit = find(tree.entries, (context << _CODE_BITS) | (code + 1))
         if len(tree.states):
             log = np.where(state >= 0, log + tree.state_logs[state], log)
