@@ -182,6 +182,19 @@ def test_language_model_scores_are_a_distribution(spark, past):
     assert total + 10 ** log[-1] == pytest.approx(1)
 
 
+def test_language_model_does_not_depend_on_what_tasks_hold(spark, monkeypatch):
+    """Scores are the same with all sequences in place, some, and none but joined."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in np.minimum(rng.zipf(1.5, 40), 30)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0], "w1", "", "w99 w1 w2"])), "doc_id long, text string")
+    found = []
+    for looked_up, held in ((1e-6, 1e-5), (1e-6, 0.01), (0.01, 0.02), (0.5, 0.5)):
+        monkeypatch.setattr(language_model, "LOOKUP_SHARE", looked_up)
+        monkeypatch.setattr(language_model, "STATE_SHARE", held)
+        found.append({r.doc_id: r.score for r in language_model.score_documents(docs).collect()})
+    assert all(scores == pytest.approx(found[0]) for scores in found[1:])
+
+
 def test_licence_inheritance(spark):
     rows = [
         ("r/LICENSE", "Released under the MIT License."), ("r/a/x", "text of its own"), ("r/b/LICENSE", "All rights reserved."),

@@ -3,13 +3,15 @@
 Counts cover every word of every training text. The root gives each word its discounted
 relative frequency and keeps the rest for words never seen. A context of one or two words
 becomes a state if its next-symbol distribution diverges from that of its suffix. A state
-has smoothed probabilities of the symbols counted often enough after it, and leaves the rest
-to its suffix. A word is scored in the longest suffix of its past that is a state.
-
-What tasks hold is bounded by shares of the corpus, not by its size: words with at least
-``LOOKUP_SHARE`` of all tokens (at most a million) are looked up in place, sequences with at least
-``STATE_SHARE`` (at most 100,000 of each length) make up the tree. All other words meet their counts in
-a join. Words are 64-bit hashes throughout.
+has smoothed probabilities of the symbols counted at least ``MIN_COUNT`` times after it, and leaves
+the rest to its suffix. A word is scored in the longest suffix of its past that is a state.
+
+The tree is a Spark table of all sequences counted so often, whatever the size of the corpus. The log
+probability of a text is a sum over its sequences, so the tree meets the texts in one join: a sequence
+brings what its entry adds to that of its suffix, and the back-off weight it has as a context of the next word.
+Tasks only hold a cache of frequent words (``LOOKUP_SHARE`` of all tokens, at most a million) and
+sequences (``STATE_SHARE``, at most 100,000 of each length), which are left out of the joins; results do
+not depend on it. Words and sequences are 64-bit hashes throughout.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuelake.llm.tables import chunks, id_remainder, written
-from venuelake.llm.words import word_hashes
+from venuelake.llm.tables import chunks, id_remainder, numbered, written
+from venuelake.llm.words import mix, word_hashes
 
 LOOKUP_SHARE = 1e-6
 STATE_SHARE = 1e-5
+#: Times a sequence is counted to be an entry.
+MIN_COUNT = 2
 #: Divergence in nats from which a context is a state; pseudo-counts of the suffix's distribution.
 MIN_DIVERGENCE = 0.01
 PRIOR = 10.0
@@ -36,13 +40,19 @@ END = np.uint64(1)
 #: Entries a task sums up before it passes them on.
 HELD_ENTRIES = 2_000_000
 _CODE_BITS = np.int64(20)
+_SEQUENCE = np.uint64(0xA0761D6478BD642F)
 
 
 class Tree(NamedTuple):
-    """Known words by hash, and the tree's entries and states by packed symbol codes; logs to base 10."""
+    """The frequent part: words by hash, entries and contexts by packed symbol codes; logs to base 10.
+
+    ``alphas`` are the weights of the words as contexts, 0 for symbols, which have theirs in ``state_logs``. All frequent
+    contexts and sequences are listed; those that are no states have weight 1 and the probability of their suffix.
+    """
 
     words: np.ndarray
     counts: np.ndarray
+    alphas: np.ndarray
     symbols: np.ndarray
     entries: np.ndarray
     entry_logs: np.ndarray
@@ -53,6 +63,13 @@ class Tree(NamedTuple):
     discount: float
 
 
+class Tables(NamedTuple):
+    """The whole model: (key, count, alpha) of all words, and (key, value) of all longer sequences that add to a score."""
+
+    words: DataFrame
+    nodes: DataFrame
+
+
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Words and ends of all texts, and the n + 1 bounds of each text's tokens."""
     hashes, bounds = word_hashes(texts)
@@ -67,25 +84,31 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def _summed(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray]) -> DataFrame:
-    """How often each 64-bit key that ``keys`` gives for the texts occurs in all: (key, count)."""
+def _summed(docs: DataFrame, keys: Callable[[pa.Array], tuple[np.ndarray, ...]], *more: str) -> DataFrame:
+    """How often each 64-bit key that ``keys`` gives for the texts occurs in all: (key, *more, count).
+
+    ``more`` names the further values ``keys`` gives, which depend on the key alone.
+    """
+    names = ["key", *more, "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            unique, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return unique, np.bincount(place, np.concatenate([n for _, n in held]), len(unique)).astype(np.int64)
+        def merged() -> tuple[np.ndarray, ...]:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            unique, first, place = np.unique(columns[0], return_index=True, return_inverse=True)
+            return unique, *(c[first] for c in columns[1:-1]), np.bincount(place, columns[-1], len(unique)).astype(np.int64)
 
         def passed() -> pa.RecordBatch:
-            unique, counts = held[0]
-            return pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(counts)], ["key", "count"])
+            return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in held[0]], names)
 
         for batch in batches:
             for part in chunks(batch, "text"):
-                held.append(np.unique(keys(part.column("text")), return_counts=True))
-                size += len(held[-1][0])
+                own = keys(part.column("text"))
+                unique, first, counts = np.unique(own[0], return_index=True, return_counts=True)
+                held.append((unique, *(c[first] for c in own[1:]), counts))
+                size += len(unique)
                 if size > HELD_ENTRIES:
                     held = [merged()]
                     size = len(held[0][0])
@@ -96,7 +119,25 @@ def _summed(docs: DataFrame, keys: Callable[[pa.Array], np.ndarray]) -> DataFram
             held = [merged()]
             yield passed()
 
-    return docs.select("text").mapInArrow(run, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
+    counted = docs.select("text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return counted.groupBy("key").agg(*(F.any_value(n).alias(n) for n in more), F.sum("count").alias("count"))
+
+
+def _follow(context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Key of each sequence followed by a token."""
+    return mix(mix(context ^ _SEQUENCE) + tokens)
+
+
+def _sequences(tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of two words, then of three: (place of the last token, key, key without the last token, key without the first)."""
+    start = np.repeat(bounds[:-1], np.diff(bounds))
+    keys, length = tokens, 1
+    while length < 3:
+        last = np.flatnonzero(np.arange(len(tokens)) - start >= length)
+        longer = np.zeros(len(tokens), np.uint64)
+        longer[last] = _follow(keys[last - 1], tokens[last])
+        yield last, longer[last], keys[last - 1], keys[last]
+        keys, length = longer, length + 1
 
 
 def _pack(*codes: np.ndarray) -> np.ndarray:
@@ -119,76 +160,98 @@ def _coded(symbols: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
     return tokens, code, before, second
 
 
-def learn(docs: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree of the training texts, and the counts (key, count) of all their words."""
-    counts = written(_summed(docs, lambda texts: tokens_of(texts)[0]), "model-words")
+def learn(docs: DataFrame) -> tuple[Tree, Tables]:
+    """The frequent part of the tree of the training texts, and the tables of the whole."""
+    counts = written(_summed(docs, lambda texts: tokens_of(texts)[:1]), "model-words")
     total = counts.agg(
         F.sum("count"), F.count(F.lit(1)), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)
     ).first()
     tokens, types, once, twice = (int(x or 0) for x in total)
-    # At most 1 / LOOKUP_SHARE rows.
-    frequent = counts.where(F.col("count") >= max(1.0, LOOKUP_SHARE * tokens)).toPandas()
-    words = frequent["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    words, known = words[order], frequent["count"].to_numpy(np.int64)[order]
-    least = max(2.0, STATE_SHARE * tokens)
-    symbols = words[known >= least]
     discount = once / (once + 2 * twice) if twice else 0.5
+    least = max(float(MIN_COUNT), STATE_SHARE * tokens)
+    root = counts.where(F.col("count") >= MIN_COUNT).select(
+        "key", "count", ((F.col("count") - discount) / max(1, tokens)).alias("p")
+    )
+    pairs, first = _level(docs, 0, root)
+    triples, second = _level(docs, 1, pairs)
+    words = written(_weighed(counts, first), "model-weights")
+    pairs = written(_weighed(pairs, second), "model-pairs")
+    nodes = pairs.select("key", (F.col("gain") + F.col("alpha")).alias("value")).union(
+        triples.select("key", F.col("gain").alias("value"))
+    ).where("value <> 0")
 
-    def sequences(texts: pa.Array) -> np.ndarray:
-        _, code, before, second = _coded(symbols, texts)
-        pair = (code >= 0) & (before >= 0)
-        return np.concatenate([_pack(before, code)[pair], _pack(second, before, code)[pair & (second >= 0)]]).view(np.uint64)
-
+    # At most 1 / LOOKUP_SHARE rows.
+    known = words.where(F.col("count") >= max(1.0, LOOKUP_SHARE * tokens)).toPandas()
+    order = np.argsort(known["key"].to_numpy(np.int64).view(np.uint64))
+    held = known["key"].to_numpy(np.int64).view(np.uint64)[order]
+    times, alphas = known["count"].to_numpy(np.int64)[order], known["alpha"].to_numpy(float)[order]
+    symbols = held[times >= least]
     # At most 1 / STATE_SHARE pairs and as many triples.
-    often = _summed(docs, sequences).where(F.col("count") >= least).toPandas().sort_values("key")
-    root = (known[known >= least] - discount) / max(1, tokens)
-    entries, logs, states, alphas = _grown(
-        often["key"].to_numpy(np.int64), often["count"].to_numpy(np.int64), known[known >= least], root
+    two, three = (t.where(F.col("count") >= least).toPandas() for t in (pairs, triples))
+    hashes = lambda frame, name: frame[name].to_numpy(np.int64).view(np.uint64)
+    packed = _pack(find(symbols, hashes(two, "context")), find(symbols, hashes(two, "lower")))
+    by_key = np.argsort(hashes(two, "key"))
+    of = lambda keys: packed[by_key][find(hashes(two, "key")[by_key], keys)]
+    ends = (of(hashes(three, "context")), of(hashes(three, "lower"))) if len(three) else (np.zeros(0, np.int64),) * 2
+    mask = (np.int64(1) << _CODE_BITS) - 1
+    entries = np.concatenate([packed, (ends[0] << _CODE_BITS) | (ends[1] & mask)])
+    entry_logs = np.log10(np.concatenate([two["p"].to_numpy(float), three["p"].to_numpy(float)]))
+    states = np.concatenate([_pack(np.arange(len(symbols))), packed])
+    state_logs = np.concatenate([alphas[times >= least], two["alpha"].to_numpy(float)])
+    by_entry, by_state = np.argsort(entries), np.argsort(states)
+    tree = Tree(
+        held, times, np.where(times >= least, 0.0, alphas), symbols, entries[by_entry], entry_logs[by_entry],
+        states[by_state], state_logs[by_state], tokens, types, discount,
     )
-    return Tree(words, known, symbols, entries, logs, states, alphas, tokens, types, discount), counts
+    return tree, Tables(words, nodes)
 
 
-def _grown(keys: np.ndarray, counts: np.ndarray, symbol_counts: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Entries and states (sorted keys with logs) that pass the divergence test, suffixes first."""
-    mask = (np.int64(1) << _CODE_BITS) - 1
-    probability: dict[int, float] = {int(k) + 1: float(p) for k, p in enumerate(root)}
-    size = {int(k) + 1: int(n) for k, n in enumerate(symbol_counts)} | dict(zip(keys.tolist(), counts.tolist(), strict=True))
-    alpha: dict[int, float] = {}
-    entry: dict[int, float] = {}
-
-    def given(context: int, symbol: int) -> float:
-        """Probability of a symbol in the state for a context, or in its nearest suffix."""
-        found = entry.get((context << 20) | symbol) if context else probability[symbol]
-        if found is not None:
-            return found
-        return alpha.get(context, 1.0) * given(context & int(mask) if context >> 20 else 0, symbol)
-
-    contexts: dict[int, list[tuple[int, int]]] = {}
-    for key, n in zip(keys.tolist(), counts.tolist(), strict=True):
-        contexts.setdefault(key >> 20, []).append((key & int(mask), n))
-    for context in sorted(contexts):  # single words have the smaller keys
-        suffix = context & int(mask) if context >> 20 else 0
-        n = size.get(context)
-        if n is None:
-            continue
-        below = {x: given(suffix, x) for x, _ in contexts[context]}
-        here = {x: (c + PRIOR * below[x]) / (n + PRIOR) for x, c in contexts[context]}
-        rest_here, rest_below = max(1e-9, 1 - sum(here.values())), max(1e-9, 1 - sum(below.values()))
-        divergence = sum(p * np.log(p / below[x]) for x, p in here.items()) + rest_here * np.log(rest_here / rest_below)
-        if divergence >= MIN_DIVERGENCE:
-            alpha[context] = rest_here / rest_below
-            entry |= {(context << 20) | x: p for x, p in here.items()}
-
-    def arrays(values: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
-        items = sorted(values.items())
-        return np.array([k for k, _ in items], np.int64), np.log10(np.array([v for _, v in items], float))
-
-    return *arrays(entry), *arrays(alpha)
+def _level(docs: DataFrame, level: int, below: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sequences one longer than those of ``below`` (key, count, p), and the weights (key, alpha) of those that are states.
+
+    Sequences are (key, context, lower, count, p, gain): ``p`` is the probability of the last word in the longest
+    suffix of the context that is a state, ``gain`` its log less those of ``p`` of ``lower`` and of the context's weight.
+    """
+
+    def sequences(texts: pa.Array) -> tuple[np.ndarray, ...]:
+        return list(_sequences(*tokens_of(texts)))[level][1:]
+
+    counted = _summed(docs, sequences, "context", "lower").where(F.col("count") >= MIN_COUNT)
+    here = (F.col("count") + PRIOR * F.col("below")) / (F.col("n") + PRIOR)
+    met = written(
+        counted.join(below.select(F.col("key").alias("lower"), F.col("p").alias("below")), "lower")
+        .join(below.select(F.col("key").alias("context"), F.col("count").alias("n")), "context")
+        .withColumn("here", here).drop("n"),
+        "model-met",
+    )
+    rest = lambda name: F.greatest(F.lit(1e-9), 1 - F.sum(name))
+    sums = met.groupBy("context").agg(
+        F.sum(F.col("here") * F.log(F.col("here") / F.col("below"))).alias("part"),
+        rest("here").alias("rest_here"), rest("below").alias("rest_below"),
+    )
+    ratio = F.col("rest_here") / F.col("rest_below")
+    states = written(
+        sums.where(F.col("part") + F.col("rest_here") * F.log(ratio) >= MIN_DIVERGENCE).select(
+            F.col("context").alias("key"), F.log10(ratio).alias("alpha")
+        ),
+        "model-states",
+    )
+    grown = met.join(states.withColumnRenamed("key", "context"), "context", "left").select(
+        "key", "context", "lower", "count",
+        F.when(F.col("alpha").isNull(), F.col("below")).otherwise(F.col("here")).alias("p"),
+        F.when(F.col("alpha").isNull(), F.lit(0.0))
+        .otherwise(F.log10(F.col("here") / F.col("below")) - F.col("alpha")).alias("gain"),
+    )
+    return written(grown, "model-level"), states
+
+
+def _weighed(sequences: DataFrame, states: DataFrame) -> DataFrame:
+    """Sequences with the log of the weight they have as contexts, 0 for those that are no states."""
+    return sequences.join(states, "key", "left").withColumn("alpha", F.coalesce("alpha", F.lit(0.0)))
 
 
 def _in_place(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, ...]:
-    """Per token: place among the looked-up words (or -1), log probability without that of other words."""
+    """Per token: place among the looked-up words (or -1), log probability by the frequent part of the tree."""
     tokens, code, before, second = _coded(tree.symbols, texts)
     place = find(tree.words, tokens)
     log = np.where(place >= 0, np.log10(np.maximum(tree.counts[place] - tree.discount, 1e-9) / max(1, tree.tokens)), 0.0) \
@@ -201,9 +264,27 @@ def _in_place(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, ...]:
             log = np.where(state >= 0, log + tree.state_logs[state], log)
         if len(tree.entries):
             log = np.where((state >= 0) & (code >= 0) & (hit >= 0), tree.entry_logs[hit], log)
+    if len(tree.words):
+        # The weight of a word as the next one's context, unless it is a symbol, whose weight is among the states.
+        log[1:] += np.where((place[:-1] >= 0) & (tokens[:-1] != END), tree.alphas[place[:-1]], 0.0)
     return tokens, place, log
 
 
+def _apart(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences that are not among the frequent ones: number of the text, key."""
+    _, code, before, second = _coded(tree.symbols, texts)
+    tokens, bounds = tokens_of(texts)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    pair = np.where((before >= 0) & (code >= 0), find(tree.entries, _pack(before, code)), -1)
+    triple = np.where((second >= 0) & (pair >= 0), find(tree.entries, _pack(second, before, code)), -1)
+    rows, keys = [], []
+    for (last, key, _, _), held in zip(_sequences(tokens, bounds), (pair, triple), strict=True):
+        rest = held[last] < 0
+        rows.append(row[last[rest]])
+        keys.append(key[rest])
+    return np.concatenate(rows), np.concatenate(keys)
+
+
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Log10 probability of every whole text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -213,11 +294,11 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     what the discount leaves. If nothing was trained on, they have probability 1. Other columns
     are not read; an empty table gives no rows.
     """
-    rows = docs.select(
+    rows = numbered(docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
         (id_remainder(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
-    )
-    tree, counts = learn(rows.where("not held_out"))
+    ), "model-texts", "row")
+    tree, tables = learn(rows.where("not held_out"))
     shared = docs.sparkSession.sparkContext.broadcast(tree)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -233,7 +314,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 other = np.concatenate([[0], np.cumsum(~known)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), part.column("held_out"), pa.array(ends - starts),
+                        part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(ends - starts),
                         pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                         pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log, starts)),
                         pa.ListArray.from_arrays(
@@ -241,29 +322,36 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                             pa.array(tokens[~known].view(np.int64)),
                         ),
                     ],
-                    ["doc_id", "held_out", "n_tokens", "known", "base", "log", "others"],
+                    ["row", "doc_id", "held_out", "n_tokens", "known", "base", "log", "others"],
                 )
 
-    scanned = written(
-        rows.mapInArrow(
-            scan, f"doc_id {kind}, held_out boolean, n_tokens long, known long, base double, log double, others array<long>"
-        ).withColumn("row", F.monotonically_increasing_id()),
-        "model-scan",
-    )
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                place, keys = _apart(shared.value, part.column("text"))
+                numbers = part.column("row").to_numpy()[place]
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(keys.view(np.int64))], ["row", "key"])
+
+    columns = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, log double, others array<long>"
+    scanned = written(rows.mapInArrow(scan, columns), "model-scan")
+    apart = rows.select("row", "text").mapInArrow(rest, "row long, key long")
+    met = written(apart.join(tables.nodes, "key").groupBy("row").agg(F.sum("value").alias("met")), "model-sums")
     n, v = tree.tokens, tree.types
     unseen = np.log10(tree.discount * v / n) if n else 0.0
     others = scanned.select("row", F.explode("others").alias("key"))
-    found = others.join(counts, "key", "left")
+    found = others.join(tables.words, "key", "left")
     logs = found.groupBy("row").agg(
         F.count("count").alias("more"), F.coalesce(F.sum(F.log10(F.col("count") + 1)), F.lit(0.0)).alias("more_base"),
         F.sum(
-            F.when(F.col("count").isNull(), F.lit(float(unseen))).otherwise(F.log10((F.col("count") - tree.discount) / max(1, n)))
+            F.when(F.col("count").isNull(), F.lit(float(unseen))).otherwise(
+                F.log10((F.col("count") - tree.discount) / max(1, n)) + F.col("alpha")
+            )
         ).alias("more_log"),
     )
     zero = F.lit(0.0)
-    return scanned.drop("others").join(logs, "row", "left").select(
+    return scanned.drop("others").join(logs, "row", "left").join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", zero) - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
-        (F.col("log") + F.coalesce("more_log", zero)).alias("score"),
+        (F.col("log") + F.coalesce("more_log", zero) + F.coalesce("met", zero)).alias("score"),
     )
