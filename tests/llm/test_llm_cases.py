@@ -114,6 +114,29 @@ def test_jaccard_of_many_near_copies(spark, monkeypatch, part):
     assert [found[k] for k in range(len(texts))] == root
 
 
+@pytest.mark.parametrize("hot", [4, 20])
+def test_jaccard_of_hot_tokens(spark, monkeypatch, hot):
+    """A token of many documents meets no single task, and groups are those found with all in one."""
+    rng = np.random.default_rng(8)
+    base = [f"t{k}" for k in range(60)]
+    texts = []
+    for k in range(60):
+        words = base[: 60 - k % 25]
+        words[rng.integers(0, len(words))] = f"e{k}"
+        texts.append(" ".join(words))
+    texts += [texts[0]] * 15 + [" ".join(base[:8] + [f"u{k}x{j}" for j in range(20 + k)]) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = lambda: {r.doc_id: r.component_id for r in jaccard.link_documents(docs).collect()}
+    expected, longest = found(), []
+    monkeypatch.setattr(jaccard, "HOT_TOKENS", hot, raising=False)
+    dealt = jaccard._dealt
+    monkeypatch.setattr(jaccard, "_dealt", lambda *given: longest.append(
+        [np.unique(np.frombuffer(b"".join(tokens), np.int64), return_counts=True)[1].max(initial=0)
+         for tokens in dealt(*given).groupBy("bucket").agg(F.collect_list("token").alias("t")).toPandas()["t"]]
+    ) or dealt(*given))
+    assert found() == expected and max(longest[0]) <= hot
+
+
 def test_line_cases(docs):
     rows = line_dedup.dedup_lines(docs).collect()
     by_id = {r.doc.doc_id: r for r in rows if r.doc.doc_id not in (5,)}
