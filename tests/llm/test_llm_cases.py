@@ -229,6 +229,27 @@ def test_licence_inheritance(spark):
     assert found["q/z"] == (None, None, None) == found[None] and found["r/b/own"] == ("CC-BY-4.0", None, None)
 
 
+def test_licence_wrapped_embedded_and_full(spark):
+    from venuelake.llm.licence_texts import TEXTS
+
+    code = "x = compute(a, b)\n" * 60
+    bsd = ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided "
+           "that the following\n# conditions are met:\n")
+    rows = [
+        ("a/wrapped", "# Copyright 2020 A. All rights reserved.\n" + bsd + code),
+        ("a/embedded", "This tool came later. Licensed under the MIT License. It was written by two people in spring.\n" + code),
+        ("a/none", code), ("m/LICENSE", "MIT License\n\nCopyright (c) 2021 Somebody\n\n" + TEXTS["MIT"]), ("m/s/x", code),
+        ("g/COPYING", TEXTS["GPL-3.0"]), ("g/y", code), ("b/LICENSE", "Copyright (c) 2021 B\n" + TEXTS["BSD-3-Clause"]), ("b/z", code),
+        ("p/LICENSE", TEXTS["Apache-2.0"]), ("p/z", code),
+    ]
+    docs = spark.createDataFrame(rows, "path string, text string").withColumn("doc_id", F.col("path"))
+    found = {r.path: r for r in licenses.scan(docs, "path").collect()}
+    assert found["a/wrapped"].licence == "BSD-3-Clause" and found["a/wrapped"].n_notices == 2
+    assert found["a/embedded"].licence == "MIT" and found["a/none"].licence is None is found["a/none"].inherited
+    inherited = {"m/s/x": "MIT", "g/y": "GPL-3.0", "b/z": "BSD-3-Clause", "p/z": "Apache-2.0"}
+    assert {k: found[k].inherited for k in inherited} == inherited
+
+
 def test_toxic_grammar():
     scorer = toxicity.Scorer({"fool": 3.0, "idio*": 2.0})
 

@@ -2,9 +2,11 @@
 
 Every line of every whole text, and the text as a whole, is a sparse vector of its words;
 the weights are log-damped counts times inverse document frequencies over all documents.
-Words that no template has count at the largest weight, so a notice inside a long sentence
-does not match. A document takes the licence of its best line. One whose whole text matches,
-or that largely consists of notices, is a licence file of its directory; documents without a
+Words that no template has count at the largest weight. So that notices inside a long sentence and
+notices wrapped over lines match too, every run of as many words as a template has is compared with it,
+wherever one of the template's heaviest words lets it match at all. A document takes the licence of its best
+line or run; that all rights are reserved counts only if there is nothing else. One whose whole text matches
+a notice or a full licence text, or that largely consists of notices, is a licence file of its directory; documents without a
 notice of their own inherit from the nearest directory above them that has such a file.
 """
 
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuelake.llm.licence_texts import TEXTS
 from venuelake.llm.tables import written
 
 #: Notices by licence (fixed values: the usual wordings).
@@ -44,6 +47,8 @@ TEMPLATES = {
                      "Attribution-ShareAlike 4.0 International License."],
     "proprietary": ["All rights reserved."],
 }
+#: What whole texts are compared with (no full texts of the CC licences, whose notices stand for them).
+FILES = {name: [*notices, *([TEXTS[name]] if name in TEXTS else [])] for name, notices in TEMPLATES.items()}
 MIN_COSINE = 0.8
 #: Share of a document's words in notices from which it is a licence file.
 FILE_SHARE = 0.1
@@ -55,7 +60,7 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-VOCABULARY = frozenset(w for notices in TEMPLATES.values() for n in notices for w in words(n))
+VOCABULARY = frozenset(w for notices in FILES.values() for n in notices for w in words(n))
 
 
 class Matcher:
@@ -68,6 +73,8 @@ class Matcher:
             for notices in templates.values() for n in notices for w in words(n)
         }
         self.vectors = [(name, self.vector(words(n))) for name, notices in sorted(templates.items()) for n in notices]
+        self.lengths = [len(words(n)) for _, notices in sorted(templates.items()) for n in notices]
+        self.anchors: dict[float, dict[str, list[int]]] = {}
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for at, (_, vector) in enumerate(self.vectors):
             for word, weight in vector.items():
@@ -93,24 +100,102 @@ class Matcher:
         return (dots[at], self.vectors[at][0]) if dots[at] >= least else (0.0, None)
 
 
-def scan_text(matcher: Matcher, text: str, min_cosine: float, file_share: float) -> tuple:
-    """(licence, cosine, notices, file licence, file cosine) of one text; nulls where nothing matches."""
-    best, count, noticed, total, every = (0.0, None), 0, 0, 0, []
+    def runs(self, tokens: list[str], least: float) -> list[tuple[float, int, int, str]]:
+        """(cosine, first word, words, licence) of all runs as long as a template that are as near to it.
+
+        A run without any of the words ``_anchors`` names for a template is too far from it, so only those around
+        them are compared.
+        """
+        found = []
+        anchors = self._anchors(least)
+        places: dict[int, list[int]] = {}
+        if anchors.keys().isdisjoint(tokens):
+            return found
+        for at, word in enumerate(tokens):
+            for template in anchors.get(word, ()):
+                places.setdefault(template, []).append(at)
+        for template, hits in places.items():
+            length, end = min(self.lengths[template], len(tokens)), -1
+            for hit in hits:
+                first, last = max(hit - length + 1, end + 1, 0), min(hit, len(tokens) - length)
+                if first <= last:
+                    found += self._slide(template, tokens, first, last, length, least)
+                    end = last
+        return found
+
+    def _slide(self, template: int, tokens: list[str], first: int, last: int, length: int, least: float) -> list[tuple]:
+        """Runs of a template that begin from ``first`` to ``last``, near enough to it."""
+        name, vector = self.vectors[template]
+        counts: Counter = Counter()
+        squares = dot = 0.0
+        found = []
+
+        def change(word: str, by: int) -> None:
+            nonlocal squares, dot
+            n, idf = counts[word], self.idf.get(word, self.unknown)
+            old, new = ((1 + log(k)) * idf if k else 0.0 for k in (n, n + by))
+            counts[word] = n + by
+            squares += new * new - old * old
+            dot += (new - old) * vector.get(word, 0.0)
+
+        for word in tokens[first : first + length]:
+            change(word, 1)
+        for start in range(first, last + 1):
+            if dot >= least * sqrt(squares):
+                found.append((min(1.0, dot / sqrt(squares)), start, length, name))
+            if start < last:
+                change(tokens[start], -1)
+                change(tokens[start + length], 1)
+        return found
+
+    def _anchors(self, least: float) -> dict[str, list[int]]:
+        """Templates by word: of each the heaviest words, without all of which no cosine is ``least``."""
+        if least not in self.anchors:
+            named: dict[str, list[int]] = {}
+            for template, (_, vector) in enumerate(self.vectors):
+                rest = 1.0
+                for word, weight in sorted(vector.items(), key=lambda item: (-item[1], item[0])):
+                    if rest < least * least - 1e-9:
+                        break
+                    rest -= weight * weight
+                    named.setdefault(word, []).append(template)
+            self.anchors[least] = named
+        return self.anchors[least]
+
+
+def scan_text(matcher: Matcher, files: Matcher, text: str, min_cosine: float, file_share: float) -> tuple:
+    """(licence, cosine, notices, file licence, file cosine) of one text; nulls where nothing matches.
+
+    Notices are the lines that match, and of the runs of words outside them the best that do not overlap.
+    """
+    found, every, covered = [], [], bytearray()
     for line in text.split("\n"):
         tokens = words(line)
-        total += len(tokens)
-        every += tokens
         cosine, name = matcher.best(tokens, min_cosine)
         if name:
-            count, noticed = count + 1, noticed + len(tokens)
-            if cosine > best[0] + 1e-9:
-                best = (cosine, name)
-    whole = matcher.best(every, min_cosine)
+            found.append((cosine, len(every), len(tokens), name))
+        covered += bytes([name is not None]) * len(tokens)
+        every += tokens
+    count = len(found)
+    runs = matcher.runs(every, min_cosine)
+    for _, start, length, _ in sorted(runs, key=_rank):
+        if not any(covered[start : start + length]):
+            count += 1
+            covered[start : start + length] = b"\1" * length
+    best = min(found + runs, key=_rank, default=(0.0, 0, 0, None))
+    best = (best[0], best[3])
+    whole = files.best(every, min_cosine)
     if whole[1] is None:
-        whole = best if total and noticed >= file_share * total else (0.0, None)
+        whole = best if every and sum(covered) >= file_share * len(every) else (0.0, None)
     return best[1], best[0] if best[1] else None, count, whole[1], whole[0] if whole[1] else None
 
 
+def _rank(notice: tuple[float, int, int, str]) -> tuple:
+    """Nearest first, then the longest and the first in the text."""
+    cosine, start, length, name = notice
+    return name == "proprietary", -round(cosine, 9), -length, start, name
+
+
 def _frequencies(docs: DataFrame) -> tuple[dict[str, int], int]:
     """In how many documents each template word occurs, and the number of documents."""
 
@@ -176,11 +261,11 @@ def scan(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     frequencies, documents = _frequencies(rows.select("text"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(TEMPLATES, frequencies, documents)
+        matcher, files = (Matcher(t, frequencies, documents) for t in (TEMPLATES, FILES))
         kinds = [pa.string(), pa.float64(), pa.int32(), pa.string(), pa.float64()]
         names = ["licence", "cosine", "n_notices", "file_licence", "file_cosine"]
         for batch in batches:
-            results = [scan_text(matcher, t.as_py() or "", min_cosine, file_share) for t in batch.column(2)]
+            results = [scan_text(matcher, files, t.as_py() or "", min_cosine, file_share) for t in batch.column(2)]
             columns = [pa.array([r[k] for r in results], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "path", *names])
 
