@@ -137,6 +137,18 @@ def test_jaccard_of_hot_tokens(spark, monkeypatch, hot):
     assert found() == expected and max(longest[0]) <= hot
 
 
+def test_jaccard_sets_are_joined_on_the_cluster(spark, docs, monkeypatch):
+    """The classes whose sets are fetched never come to the driver."""
+    rows, texts = docs.select("text"), [ROWS[0][1]]
+    sets = [jaccard.token_set(jaccard.word_hashes(pa.array([t]))[0]) for t in texts]
+    needed = spark.createDataFrame([(jaccard.digest(s),) for s in sets], "cls long")
+    monkeypatch.setattr(type(needed), "toArrow", None)
+    monkeypatch.setattr(type(needed), "collect", None)
+    found = jaccard._token_sets(rows, needed)
+    monkeypatch.undo()
+    assert [(r.cls, r.tokens) for r in found.collect()] == [(jaccard.digest(s), s.view(np.int64).tolist()) for s in sets]
+
+
 def test_line_cases(docs):
     rows = line_dedup.dedup_lines(docs).collect()
     by_id = {r.doc.doc_id: r for r in rows if r.doc.doc_id not in (5,)}
