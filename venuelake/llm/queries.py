@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelake.llm import jaccard, language_model, licenses, line_dedup, mixing, near_vectors, packing, sharding, topk, toxicity
+from venuelake.llm import (
+    filter_audit, jaccard, language_model, licenses, line_dedup, mixing, near_vectors, packing, prefix_trie, quality, sharding,
+    topk, toxicity,
+)
 
 QUERIES, ORACLES = {}, {}
 TOKENIZER = "byte_bpe_50k.json"
@@ -188,3 +191,137 @@ def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_documents(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations")).drop("enter")
+
+
+ORACLES["op11_conversation_trie"] = r"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns FROM t GROUP BY conv_id
+), c AS (
+    SELECT conv_id, turns, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, k:
+            CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)
+    )) % 4 AS h FROM own
+), r AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM c LEFT JOIN own b ON b.conv_id = c.base
+), p AS (
+    SELECT conv_id, len(turns) AS size, unnest(range(len(turns) + 1)) AS depth, turns FROM r
+), k AS (
+    SELECT conv_id, size, depth, sha256(turns[:depth]::VARCHAR || depth) AS id,
+           CASE WHEN depth > 0 THEN sha256(turns[:depth - 1]::VARCHAR || (depth - 1)) END AS parent,
+           CASE WHEN depth > 0 THEN len(regexp_extract_all(turns[depth].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+    FROM p
+), n AS (
+    SELECT id, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+    FROM k GROUP BY id, parent, depth
+), kids AS (SELECT parent AS id, count(*) AS n_children FROM n GROUP BY parent
+), below AS (
+    SELECT a.id, sum((kids.id IS NULL)::BIGINT) AS n_leaves, sum(b.saved) AS saved_tokens
+    FROM n a JOIN k ka ON ka.id = a.id AND ka.conv_id = a.conv_id
+    JOIN k kb ON kb.depth >= a.depth JOIN n b ON b.id = kb.id AND b.conv_id = kb.conv_id
+    JOIN k up ON up.conv_id = kb.conv_id AND up.depth = a.depth AND up.id = a.id
+    LEFT JOIN kids ON kids.id = b.id
+    GROUP BY a.id
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n up ON up.id = n.parent LEFT JOIN kids ON kids.id = n.id JOIN below ON below.id = n.id
+"""
+
+
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), f AS (
+    SELECT doc_id, part, {
+        'A': len(words) < 100, 'B': 100 * len(list_distinct(words)) < 80 * len(words),
+        'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+        'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)
+    } AS fails FROM d
+), l AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+    SELECT part, [fails.A, fails.B, fails.C, fails.D, fails.E] AS fails, coalesce(good, false) AS good,
+           coalesce(toxic, false) AS toxic
+    FROM f LEFT JOIN l USING (doc_id)
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+           list_transform(string_split(filter_order[:step - 1], ''), lambda x: ascii(x) - 64) AS before
+    FROM orders, range(1, 6) t(step)
+), e AS (
+    SELECT part, filter_order, step, letter, good, toxic, fails[ascii(letter) - 64] AS bad,
+           step > 1 AND len(list_filter(before, lambda k: fails[k])) > 0 AS gone,
+           len(list_filter(fails, lambda x: x)) AS n_bad
+    FROM m, s
+), g AS (
+    SELECT part, filter_order, step::INT AS step, letter, count(*) FILTER (NOT gone AND NOT bad) AS kept,
+           count(*) FILTER (NOT gone AND bad) AS removed, count(*) FILTER (gone AND bad) AS redundant,
+           count(*) FILTER (bad AND n_bad = 1) AS unique_fails,
+           count(*) FILTER (NOT gone AND bad AND good) AS good_lost, count(*) FILTER (NOT gone AND bad AND toxic) AS toxic_lost
+    FROM e GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM g
+"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_documents(table(spark, folder, "documents"))
+
+
+ORACLES["op13_quality_rules"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+    SELECT row, k, count(*) OVER (PARTITION BY row, words[k:k + 2]) AS n
+    FROM (SELECT row, words, unnest(generate_series(1, len(words) - 2)) AS k FROM d)
+), r AS (
+    SELECT row, count(DISTINCT k) AS n FROM (SELECT row, unnest([k, k + 1, k + 2]) AS k FROM w WHERE n > 1) GROUP BY row
+), l AS (
+    SELECT row, source, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+           regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+                          '[\x20\x09-\x0D]+', ' ', 'g').trim(' ') AS same
+    FROM (SELECT row, source, unnest(string_split(text, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), h AS (SELECT source, count(*) AS n FROM d GROUP BY source
+), b AS (
+    SELECT source, same, true AS common FROM (SELECT source, same, count(DISTINCT row) AS n FROM l GROUP BY source, same) x
+    WHERE n >= 5 AND 1000 * n >= 5 * (SELECT h.n FROM h WHERE h.source IS NOT DISTINCT FROM x.source)
+), g AS (
+    SELECT row, count(*) - count(DISTINCT line) AS n_dup, count(common) AS n_common,
+           coalesce(sum(words) FILTER (common), 0) AS gone
+    FROM l LEFT JOIN b ON l.same = b.same AND l.source IS NOT DISTINCT FROM b.source GROUP BY row
+), j AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+           length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+           coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(n_common, 0)::BIGINT AS n_common_lines,
+           (len(words) - coalesce(gone, 0))::BIGINT AS n_left_words
+    FROM d LEFT JOIN r USING (row) LEFT JOIN g USING (row)
+), v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM j)
+SELECT *, NOT base_failed AND 100 * n_left_words >= 50 * n_words AS kept FROM v
+"""
