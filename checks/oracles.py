@@ -132,6 +132,18 @@ oracle(
         FROM monthly_history m RIGHT JOIN cuisines c ON m.restaurantId = c.restaurant_key
         WHERE cuisine IN (SELECT cuisine FROM cuisines WHERE restaurant_key = 3) GROUP BY ALL)""",
 )
+oracle("marts_incremented_days", f"SELECT {DAILY} FROM daily_history")
+ORACLES["marts_incremented_months"] = ORACLES["monthly_history_ranked"]
+oracle(
+    "marts_incremented_visitors",
+    """SELECT restaurantId, strftime("timestamp", '%Y-%m') AS "month", count(DISTINCT userId) AS visitors
+    FROM history s JOIN images i ON s.imageId = i.id GROUP BY ALL""",
+)
+oracle(
+    "landed_details",
+    """SELECT 'g_' || p_size AS google_key, p_name AS reviews,
+        CASE WHEN len(p_name) % 2 = 0 THEN p_brand END AS opening_periods, (p_size > 25)::INT AS batch FROM part""",
+)
 oracle("top_bottom_items", "SELECT * FROM monthly_images")
 oracle("visitor_profile", "SELECT * FROM visitors")
 oracle("peer_rank", 'SELECT restaurantId, "month", cuisine, "rank", crank FROM peer_ranks')
@@ -444,6 +456,47 @@ oracle(
     UNION ALL SELECT 'events', event_id, user_id FROM events
         WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
 )
+LATE_ORDERS = """late AS (
+    SELECT CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE -o_orderkey END AS o_orderkey, o_custkey, o_orderstatus,
+        round(sum(l_extendedprice), 2) AS o_totalprice, o_orderdate, 'changed' AS o_orderpriority
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 7 DAY
+    GROUP BY ALL
+)"""
+oracle(
+    "bucket_upsert",
+    f"""WITH {LATE_ORDERS}
+    SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM late) UNION ALL SELECT * FROM late""",
+)
+oracle(
+    "bucket_upsert_partial",
+    f"""WITH {LATE_ORDERS}
+    SELECT o.* REPLACE (coalesce(n.o_totalprice, o.o_totalprice) AS o_totalprice,
+        coalesce(n.o_orderpriority, o.o_orderpriority) AS o_orderpriority)
+    FROM orders o LEFT JOIN late n USING (o_orderkey)
+    UNION ALL SELECT * FROM late WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+)
+oracle(
+    "bucket_cascade_delete",
+    """SELECT 'customer' AS table_name, c_custkey AS id, c_custkey AS owner FROM customer WHERE c_acctbal >= -900
+    UNION ALL SELECT 'orders', o_orderkey, o_custkey FROM orders
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < -900)
+    UNION ALL SELECT 'events', event_id, user_id FROM events
+        WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < -900)""",
+)
+oracle(
+    "bucket_replace_groups",
+    """WITH late AS (
+        SELECT DISTINCT l_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE l_shipdate > o_orderdate + INTERVAL 2300 DAY
+    )
+    SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ANTI JOIN late USING (l_orderkey)
+    UNION ALL SELECT l_orderkey, 0, round(sum(l_quantity), 2) FROM lineitem SEMI JOIN late USING (l_orderkey) GROUP BY l_orderkey""",
+)
+oracle(
+    "bucket_append_new",
+    """SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE 'again' END AS o_orderpriority) FROM orders""",
+)
 oracle(
     "mark_closed",
     """SELECT key, 'go' || key AS go_key, CASE WHEN k IS NULL THEN 0 ELSE 1 END AS closed,
@@ -605,6 +658,12 @@ oracle(
     FROM matched m JOIN part p ON m.place_id = 'p' || p.p_partkey""",
     VENUES,
 )
+oracle(
+    "job_landed_hours",
+    """SELECT DISTINCT key AS ra_key, p.p_partkey % 7 AS day_key, 900 AS open_time, 2100 AS close_time
+    FROM matched m JOIN part p ON m.place_id = 'p' || p.p_size""",
+    VENUES,
+)
 oracle(
     "job_images",
     """SELECT DISTINCT sha256(image_file || chr(31) || key) AS image_id, key AS ra_key, image_file, source

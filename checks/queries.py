@@ -15,8 +15,9 @@ from venuelake.operators import mutate, spatial
 from venuelake.operators.neighbors import nearest
 from venuelake.operators.normalize import explode_values, keyed_values, normalize
 from venuelake.operators.propagate import embed
-from venuelake.plans import app_data, graph, jobs, marts, recommend, serving, warehouse
+from venuelake.plans import app_data, graph, increments, jobs, marts, recommend, serving, warehouse
 from venuelake.session import durable, scratch_path
+from venuelake.sources import arrivals, buckets
 from venuelake.sources import images as image_files
 from venuelake.sources import tables as sources
 from venuelake.sources.lake import publish, read_current
@@ -102,6 +103,36 @@ def marts_written(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(monthly, *serving.AVERAGES)
 
 
+def _incremented(spark: SparkSession, folder: str) -> str:
+    """Marts of all days but the latest ones and of a day without its right-hand swipes, then of all days."""
+    path = scratch_path(spark, "states")
+    swipes, images, restaurants = s.history(spark, folder), s.images(spark, folder), s.restaurants(spark, folder)
+    last = swipes.agg(F.max("timestamp").alias("t")).scalar()
+    day, late = F.to_date("timestamp"), F.to_date(last - F.expr("INTERVAL 400 DAY"))
+    new = day > F.to_date(last - F.expr("INTERVAL 45 DAY"))
+    increments.add_days(spark, path, swipes.where(~new & ((day != late) | (F.col("swipeLeft") == 1))), images, restaurants)
+    for _ in range(2):
+        increments.add_days(spark, path, swipes.where(new | (day == late)), images, restaurants)
+    return path
+
+
+@query
+def marts_incremented_days(spark: SparkSession, folder: str) -> DataFrame:
+    states = increments.month_states(spark, _incremented(spark, folder))
+    return day_text(increments.daily_from_states(states), "date")
+
+
+@query
+def marts_incremented_months(spark: SparkSession, folder: str) -> DataFrame:
+    monthly = sources.read_table(spark, _incremented(spark, folder), increments.MONTHLY)
+    return rounded(monthly.drop("state_month"), *serving.AVERAGES)
+
+
+@query
+def marts_incremented_visitors(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.read_table(spark, _incremented(spark, folder), increments.VISITORS).drop("state_month")
+
+
 @query
 def marts_written_view(spark: SparkSession, folder: str) -> DataFrame:
     """Peer averages of one restaurant from the written marts."""
@@ -397,6 +428,26 @@ def details_unify(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_venue_details(spark, path)
 
 
+@query
+def landed_details(spark: SparkSession, folder: str) -> DataFrame:
+    """Detail files that land in two steps: each is read once, with the number of the batch that read it."""
+    parts = s.given(spark, folder, "part")
+    path = scratch_path(spark, "arrivals")
+    columns = [F.col("p_name").alias("reviews"), F.col("p_brand").alias("opening_hours.periods"), F.col("p_type").alias("kind")]
+    landing, landed = f"{path}/landing", f"{path}/landed"
+    for step in (parts.where("p_size <= 25"), parts.where("p_size > 25"), parts.limit(0)):
+        files = step.select(F.concat(F.lit("g_"), F.col("p_size")).alias("place"), *columns)
+        for number, kept in enumerate((["reviews", "`opening_hours.periods`"], ["reviews"])):
+            own = files.where((F.length("reviews") % 2) == number).select("place", *kept)
+            own.write.mode("append").partitionBy("place").parquet(f"{landing}/{number}")
+        arrivals.read_arrivals(
+            spark, landing, f"{path}/record", "reviews string, opening_periods string",
+            lambda rows, batch: rows.withColumn("batch", F.lit(batch)).write.mode("append").parquet(landed),
+            schemas.DETAILS_NESTED, "google_key", key_pattern="place=(g_[0-9]+)",
+        )
+    return spark.read.parquet(landed)
+
+
 @query
 def table_names(spark: SparkSession, folder: str) -> DataFrame:
     """Tables written to a folder, then listed; only those the target lacks are copied."""
@@ -735,6 +786,91 @@ def delete_closed(spark: SparkSession, folder: str) -> DataFrame:
     return kept["cuisines"].select("restaurant_key", "cuisine")
 
 
+# Changes that touch only buckets
+
+
+def _late_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders of the last week, with the totals of their items, under new keys every other one."""
+    orders = s.given(spark, folder, "orders")
+    last = orders.agg(F.max("o_orderdate").alias("d")).scalar()
+    late = orders.where(F.col("o_orderdate") >= last - F.expr("INTERVAL 7 DAY"))
+    totals = s.given(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.round(F.sum("l_extendedprice"), 2).alias("total")
+    )
+    key = F.col("o_orderkey")
+    return late.join(totals, "o_orderkey").select(
+        F.when(key % 2 == 0, key).otherwise(-key).alias("o_orderkey"), "o_custkey", "o_orderstatus",
+        F.col("total").alias("o_totalprice"), "o_orderdate", F.lit("changed").alias("o_orderpriority"),
+    )
+
+
+def _laid_out(spark: SparkSession, folder: str, path: str, name: str, key: str) -> buckets.Table:
+    table = buckets.Table(path, name, (key,))
+    buckets.lay_out(s.given(spark, folder, name), table, 64)
+    return table
+
+
+@query
+def bucket_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders after an upsert of late ones, twice, in the buckets they fall into."""
+    orders = _laid_out(spark, folder, scratch_path(spark, "buckets"), "orders", "o_orderkey")
+    for _ in range(2):
+        buckets.upsert(orders, _late_orders(spark, folder))
+    return buckets.read(spark, orders)
+
+
+@query
+def bucket_upsert_partial(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _laid_out(spark, folder, scratch_path(spark, "buckets"), "orders", "o_orderkey")
+    buckets.upsert(orders, _late_orders(spark, folder), update_columns=["o_totalprice", "o_orderpriority"])
+    return buckets.read(spark, orders)
+
+
+@query
+def bucket_cascade_delete(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of customers, orders and events after the most indebted customers went, twice."""
+    path = scratch_path(spark, "buckets")
+    keys = {"customer": "c_custkey", "orders": "o_custkey", "events": "user_id"}
+    parent, *children = [_laid_out(spark, folder, path, name, key) for name, key in keys.items()]
+    for _ in range(2):
+        buckets.cascade_delete(spark, parent, F.col("c_acctbal") < -900, children)
+    ids = {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id"}
+    left = [
+        buckets.read(spark, table).select(
+            F.lit(table.name).alias("table_name"), F.col(ids[table.name]).alias("id"), F.col(table.keys[0]).alias("owner")
+        )
+        for table in (parent, *children)
+    ]
+    return reduce(DataFrame.unionAll, left)
+
+
+@query
+def bucket_replace_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of finished orders that were shipped late replaced by one row with their sums, by order."""
+    items = _laid_out(spark, folder, scratch_path(spark, "buckets"), "lineitem", "l_orderkey")
+    rows = s.given(spark, folder, "lineitem")
+    late = rows.join(s.given(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).where(
+        F.col("l_shipdate") > F.col("o_orderdate") + F.expr("INTERVAL 2300 DAY")
+    ).select("l_orderkey").distinct()
+    sums = rows.join(late, "l_orderkey", "left_semi").groupBy("l_orderkey").agg(
+        F.lit(0).alias("l_linenumber"), F.round(F.sum("l_quantity"), 2).alias("l_quantity")
+    )
+    full = sums.select(*[F.col(c) if c in sums.columns else F.lit(None).alias(c) for c in rows.columns])
+    buckets.replace_groups(items, full)
+    return buckets.read(spark, items).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query
+def bucket_append_new(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished orders, then all orders added: those known stay as they are."""
+    orders = s.given(spark, folder, "orders")
+    table = buckets.Table(scratch_path(spark, "buckets"), "orders", ("o_custkey",))
+    buckets.lay_out(orders.where("o_orderstatus = 'F'"), table, 64)
+    for _ in range(2):
+        buckets.append_new(table, orders.withColumn("o_orderpriority", F.lit("again")), "o_orderkey")
+    return buckets.read(spark, table)
+
+
 # Jobs that write, each run twice
 
 
@@ -755,12 +891,12 @@ def _update_twice(spark: SparkSession, folder: str) -> str:
 
 @query
 def job_update_restaurants(spark: SparkSession, folder: str) -> DataFrame:
-    return _restaurant_rows(read_current(spark, _update_twice(spark, folder), "restaurants"))
+    return _restaurant_rows(jobs.read_table(spark, _update_twice(spark, folder), "restaurants"))
 
 
 @query
 def job_update_ratings(spark: SparkSession, folder: str) -> DataFrame:
-    return read_current(spark, _update_twice(spark, folder), "rating")
+    return jobs.read_table(spark, _update_twice(spark, folder), "rating")
 
 
 def _details_twice(spark: SparkSession, folder: str) -> str:
@@ -773,21 +909,42 @@ def _details_twice(spark: SparkSession, folder: str) -> str:
 
 @query
 def job_details_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return read_current(spark, _details_twice(spark, folder), "long_review")
+    return jobs.read_table(spark, _details_twice(spark, folder), "long_review")
 
 
 @query
 def job_details_hours(spark: SparkSession, folder: str) -> DataFrame:
-    return read_current(spark, _details_twice(spark, folder), "opening_hours")
+    return jobs.read_table(spark, _details_twice(spark, folder), "opening_hours")
+
+
+@query
+def job_landed_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Opening hours of venues whose detail files land in two steps, the job run after each and once more."""
+    lake = scratch_path(spark, "lake")
+    jobs.load_warehouse(spark, lake, s.venues_a(spark, folder), s.venues_b(spark, folder))
+    day = (F.col("p_partkey") % 7).cast("string")
+    periods = F.concat(
+        F.lit("[{'close': {'day': "), day, F.lit(", 'time': '2100'}, 'open': {'day': "), day, F.lit(", 'time': '0900'}}]")
+    )
+    parts = s.given(spark, folder, "part")
+    details = parts.select(
+        "p_size", F.concat(F.lit("g_p"), "p_size").alias("place"), F.lit(None).cast("string").alias("reviews"),
+        periods.alias("opening_hours.periods"),
+    )
+    for step in ("p_size <= 25", "p_size > 25", "false"):
+        details.where(step).drop("p_size").write.mode("append").partitionBy("place").parquet(f"{lake}/_landing")
+        jobs.land_details(spark, lake, f"{lake}/_landing", "place=(g_[^/]+)")
+    return jobs.read_table(spark, lake, "opening_hours")
 
 
 @query
 def job_images(spark: SparkSession, folder: str) -> DataFrame:
     lake = scratch_path(spark, "lake")
-    publish(s.restaurants(spark, folder).withColumn("go_key", F.concat(F.lit("go"), "key")), lake, "restaurants")
+    named = s.restaurants(spark, folder).withColumn("go_key", F.concat(F.lit("go"), "key"))
+    buckets.lay_out(named, jobs.table(lake, "restaurants"))
     for _ in range(2):
         jobs.add_images(spark, lake, image_files.image_catalog(_image_paths(spark, folder)))
-    return read_current(spark, lake, "images_external")
+    return jobs.read_table(spark, lake, "images_external")
 
 
 @query
@@ -798,7 +955,7 @@ def job_delete(spark: SparkSession, folder: str) -> DataFrame:
         jobs.delete_closed(spark, lake)
     keys = {"restaurants": "key", "cuisines": "restaurant_key", "meals": "restaurant_key", "rating": "ra_key"}
     parts = [
-        read_current(spark, lake, name).select(F.lit(name).alias("table_name"), F.col(key).alias("key"))
+        jobs.read_table(spark, lake, name).select(F.lit(name).alias("table_name"), F.col(key).alias("key"))
         for name, key in keys.items()
     ]
     return reduce(DataFrame.unionAll, parts).groupBy("table_name", "key").agg(F.count(F.lit(1)).alias("rows"))

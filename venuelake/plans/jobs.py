@@ -3,42 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from venuelake import schemas
 from venuelake.functions.dates import Moment, resolved
 from venuelake.plans import graph, warehouse
 from venuelake.session import durable
-from venuelake.sources.lake import current_path, publish, read_current
+from venuelake.sources import arrivals, buckets
+from venuelake.sources.lake import publish
 
 UPDATED = ["restaurants", "cuisines", "meals", "rating"]
+#: Bucket keys of the lake's tables: the restaurant everywhere, so a restaurant touches one bucket of each.
+KEYS = {"restaurants": "key", **schemas.RESTAURANT_CHILDREN}
+
+
+def table(lake: str, name: str) -> buckets.Table:
+    return buckets.Table(lake, name, (KEYS[name],))
+
+
+def read_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    return buckets.read(spark, table(lake, name))
 
 
 def load_warehouse(spark: SparkSession, lake: str, venues_a: DataFrame, venues_b: DataFrame, as_of: Moment = None) -> None:
     """The first load of restaurants, their values and ratings."""
     matched = durable(warehouse.match_venues(venues_a, venues_b))
-    publish(warehouse.build_restaurants(matched), lake, "restaurants")
-    publish(warehouse.build_cuisines(matched), lake, "cuisines")
-    publish(warehouse.build_meals(matched), lake, "meals")
-    publish(warehouse.build_ratings(matched, resolved(as_of)), lake, "rating")
+    loaded = {
+        "restaurants": warehouse.build_restaurants(matched), "cuisines": warehouse.build_cuisines(matched),
+        "meals": warehouse.build_meals(matched), "rating": warehouse.build_ratings(matched, resolved(as_of)),
+    }
+    for name, rows in loaded.items():
+        buckets.lay_out(rows, table(lake, name))
 
 
 def update_warehouse(spark: SparkSession, lake: str, venues_a: DataFrame, venues_b: DataFrame, as_of: Moment = None) -> None:
-    """A later load of both sources."""
-    tables = {name: read_current(spark, lake, name) for name in UPDATED}
+    """A later load of both sources: only buckets whose rows differ are written.
+
+    The tables follow each other, so a job that stops between them is to be run again; a
+    repeat writes what is missing.
+    """
+    tables = {name: read_table(spark, lake, name) for name in UPDATED}
     updated = warehouse.update_warehouse(tables, venues_a, venues_b, as_of)
     for name in UPDATED:
-        publish(updated[name], lake, name)
+        # Content of all tables follows from the old ones, so none is replaced before all are known.
+        updated[name] = durable(updated[name])
+    for name in UPDATED:
+        buckets.replace_changed(table(lake, name), updated[name])
 
 
 def add_details(spark: SparkSession, lake: str, reviews: DataFrame, periods: DataFrame) -> None:
     """Parsed reviews are appended, those known already are not; hours of the venues in ``periods`` are replaced."""
-    restaurants = read_current(spark, lake, "restaurants")
+    restaurants = read_table(spark, lake, "restaurants")
     fresh = warehouse.build_reviews(reviews, restaurants)
-    hours = warehouse.build_opening_hours(periods, restaurants).drop("open_day")
+    hours = warehouse.build_opening_hours(periods, restaurants).drop("open_day").distinct()
     _append(spark, fresh, lake, "long_review", "review_key")
-    known = current_path(spark, lake, "opening_hours")
-    publish(
-        warehouse.update_opening_hours(spark.read.parquet(known), hours) if known else hours.distinct(), lake, "opening_hours"
-    )
+    known = table(lake, "opening_hours")
+    if buckets.exists(spark, known):
+        buckets.replace_groups(known, hours)
+    else:
+        buckets.lay_out(hours, known)
 
 
 def load_details(spark: SparkSession, lake: str, details: DataFrame) -> None:
@@ -48,26 +71,46 @@ def load_details(spark: SparkSession, lake: str, details: DataFrame) -> None:
     publish(rejects, lake, "details_rejects")
 
 
+def land_details(
+    spark: SparkSession, lake: str, landing: str, key_pattern: str = arrivals.KEY_PATTERN, files_per_batch: int | None = None
+) -> int:
+    """Add the detail files that came to ``landing`` since the last call; returns the batches.
+
+    Files read before are not opened. Reviews are appended by key and hours replaced by venue, so a
+    batch that comes again after a failure changes nothing. Rejects are kept per batch.
+    """
+
+    def add(details: DataFrame, batch: int) -> None:
+        known = durable(details.where(F.col("reviews").isNotNull() | F.col("opening_periods").isNotNull()))
+        reviews, periods, rejects = warehouse.parse_details(known)
+        add_details(spark, lake, reviews, periods)
+        rejects.write.mode("overwrite").parquet(f"{lake}/details_rejects/batch={batch}")
+
+    return arrivals.read_arrivals(
+        spark, landing, f"{lake}/_arrivals/details", "reviews string, opening_periods string", add,
+        schemas.DETAILS_NESTED, "google_key", key_pattern, files_per_batch,
+    )
+
+
 def add_images(spark: SparkSession, lake: str, catalog: DataFrame) -> None:
     """Images of a catalogue by restaurant; those known already are not added again."""
-    images = warehouse.build_external_images(catalog, read_current(spark, lake, "restaurants"))
+    images = warehouse.build_external_images(catalog, read_table(spark, lake, "restaurants"))
     _append(spark, images, lake, "images_external", "image_id")
 
 
 def _append(spark: SparkSession, rows: DataFrame, lake: str, name: str, key: str) -> None:
-    known = current_path(spark, lake, name)
-    old = spark.read.parquet(known) if known else rows.limit(0)
-    publish(warehouse.append_rows(old, rows, key), lake, name)
+    known = table(lake, name)
+    if buckets.exists(spark, known):
+        buckets.append_new(known, rows, key)
+    else:
+        buckets.lay_out(rows.dropDuplicates([key]), known)
 
 
 def delete_closed(spark: SparkSession, lake: str) -> None:
-    """Closed restaurants and what hangs on them go from all tables the lake has."""
-    names = ["restaurants", *warehouse.schemas.RESTAURANT_CHILDREN]
-    tables = {name: read_current(spark, lake, name) for name in names if current_path(spark, lake, name)}
-    kept = warehouse.delete_closed(tables)
-    # The children first: a job that stops half way has deleted nothing that still has rows below it.
-    for name in reversed(list(kept)):
-        publish(kept[name], lake, name)
+    """Closed restaurants and what hangs on them go from all tables the lake has, bucket by bucket."""
+    children = [table(lake, name) for name in schemas.RESTAURANT_CHILDREN]
+    there = [child for child in children if buckets.exists(spark, child)]
+    buckets.cascade_delete(spark, table(lake, "restaurants"), F.col("closed") == 1, there)
 
 
 def write_graph(spark: SparkSession, lake: str, tables: dict[str, DataFrame]) -> None:

@@ -8,6 +8,9 @@ from pyspark.sql.types import StructField, StructType
 
 from venuelake import schemas
 
+#: Where an entity's key stands in the path of its file.
+KEY_PATTERN = r"/(g_[^/]+?)(?:\.parquet)?(?:/[^/]*)?$"
+
 
 def read_table(spark: SparkSession, folder: str, name: str, view: bool = False) -> DataFrame:
     """A table of a folder; with ``view`` also registered for SQL under its name."""
@@ -75,7 +78,7 @@ def _raw_schema(ddl: str, nested: dict[str, str], spark: SparkSession) -> Struct
 
 def read_landing(
     spark: SparkSession, folder: str, ddl: str, nested: dict[str, str], key: str | None = None,
-    key_pattern: str = r"/(g_[^/]+?)(?:\.parquet)?(?:/[^/]*)?$",
+    key_pattern: str = KEY_PATTERN,
 ) -> DataFrame:
     """All files below a folder as one table of the given columns.
 
