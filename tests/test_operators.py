@@ -217,7 +217,7 @@ def _brute_neighbors(ids, vectors, k):
     return out
 
 
-@pytest.mark.parametrize("tiles", [{}, {"tile_rows": 25, "max_pivots": 6}])
+@pytest.mark.parametrize("tiles", [{}, {"tile_rows": 25, "max_pivots": 6}, {"tile_rows": 12, "max_pivots": 3}])
 def test_neighbors_equal_brute_force(spark, tiles, many_hot_keys):
     picks = np.random.default_rng(5)
     centers = picks.normal(size=(5, 8))
@@ -240,6 +240,26 @@ def test_neighbors_of_tight_clusters(spark, spread, pivots):
     assert got == _brute_neighbors([i for i, _ in data], vectors, 5)
 
 
+def test_neighbor_tree_has_levels_and_small_leaves(spark):
+    from venuelake.operators import neighbors
+
+    picks = np.random.default_rng(2).normal(size=(300, 6))
+    units = picks / np.linalg.norm(picks, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(units)], "rep int, vec array<double>")
+    rows, levels = neighbors._tree(df, 4, 15, 4)
+    sizes = rows.groupBy("cell").count().collect()
+    assert len(levels) >= 3 and sum(r["count"] for r in sizes) == 300 and max(r["count"] for r in sizes) <= 15
+
+
+def test_neighbors_of_vectors_no_pivot_tells_apart(spark):
+    """Vectors whose distances round to nothing are parted by a hash, so leaves stay small."""
+    base = np.ones(4)
+    data = [(i, [float(x) for x in base * (1 + i * 1e-16) + np.eye(4)[i % 4] * i * 1e-15]) for i in range(60)]
+    df = spark.createDataFrame([*data, (99, [1.0, 0.0, 0.0, 0.0])], "id int, embedding array<double>")
+    got = nearest(df, 3, tile_rows=8, max_pivots=2).collect()
+    assert len(got) == 61 * 3 and all(r["cosine"] == 1.0 for r in got if r["id"] != 99)
+
+
 def test_neighbors_of_few_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0])], "id int, embedding array<double>")
     assert {(r["id"], r["neighbor"]) for r in nearest(df, 5).collect()} == {(1, 2), (2, 1)}
