@@ -6,6 +6,8 @@ import atexit
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,6 +94,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_SCRATCH[application]}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables asked for inside go when the block ends; results are to be written elsewhere before.
+
+    The shuffle files of jobs nobody refers to any more are let go as well: Spark drops them
+    when the driver's garbage is collected, which on a quiet driver can take half an hour.
+    """
+    application = spark.sparkContext.applicationId
+    inner = scratch_path(spark, "scope")
+    outer, _SCRATCH[application] = _SCRATCH[application], inner
+    try:
+        yield
+    finally:
+        _SCRATCH[application] = outer
+        _drop_scratch(spark, inner)
+        spark._jvm.System.gc()
+
+
+def drop_scratch_table(spark: SparkSession, path: str) -> None:
+    """Remove a table written to a ``scratch_path`` before the driver ends."""
+    _drop_scratch(spark, path)
+
+
 def _drop_scratch(spark: SparkSession, folder: str) -> None:
     if spark.sparkContext._jsc is not None:  # else the session has been stopped already
         place = spark._jvm.org.apache.hadoop.fs.Path(folder)
