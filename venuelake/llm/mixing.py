@@ -135,5 +135,6 @@ def mixed_documents(
     flat = rows.select(
         "row", *[F.col(f"doc.`{old}`").alias(new) for old, new in ((doc_id, "doc_id"), (text, "text"), (source, "source"))]
     )
-    taken = rows.join(mix(flat, row="row", **settings).positions, "row")
+    # Written, so that Spark knows the size of the positions and need not shuffle texts to a small list.
+    taken = rows.join(written(mix(flat, row="row", **settings).positions, "mixing-where"), "row")
     return taken.repartitionByRange("position").sortWithinPartitions("position").select("doc.*")
