@@ -357,3 +357,16 @@ def test_components(spark):
                 root[a] = root[b] = min(root[a], root[b])
     rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in rows} == root and len(rows) == len(root)
+
+
+def test_invented_words_score_no_better_than_known_ones(spark):
+    """A text of words nobody wrote is less likely than one of words seen once, and one more such word costs the same."""
+    texts = [f"common words of the text come often again {k} rare{k}" for k in range(300)]
+    texts += [" ".join(f"invented{k}q{j}" for j in range(20)) for k in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in language_model.score_documents(docs).collect()}
+    held = [r for r in rows.values() if r.held_out]
+    known = [r.score / r.n_tokens for r in held if r.doc_id < 300]
+    made_up = [r.score / r.n_tokens for r in held if r.doc_id >= 300]
+    assert known and made_up and max(made_up) < min(known)
+    assert all(r.score <= r.n_tokens * np.log10(1 / r.train_tokens) * 0.8 for r in held if r.doc_id >= 300)

@@ -1,7 +1,8 @@
 """Texts scored by a probabilistic suffix tree over words.
 
 Counts cover every word of every training text. The root gives each word its discounted
-relative frequency and keeps the rest for words never seen. A context of one or two words
+relative frequency and keeps the rest for words never seen; the rest is divided among as many of
+them as leave each the probability of a word seen once. A context of one or two words
 becomes a state if its next-symbol distribution diverges from that of its suffix. A state
 has smoothed probabilities of the symbols counted at least ``MIN_COUNT`` times after it, and leaves
 the rest to its suffix. A word is scored in the longest suffix of its past that is a state.
@@ -290,8 +291,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Documents whose id's crc32 modulo 7 is 2 are held out of the training. A null or empty text is
     its end alone. Equal rows are trained on and scored each for itself; null ids count as empty text.
-    ``base_score`` is that of single words with one added to each count. Words never seen share
-    what the discount leaves. If nothing was trained on, they have probability 1. Other columns
+    ``base_score`` is that of single words with one added to each count. A word never seen counts as
+    one of discount * types / (1 - discount) such words, which share what the discount leaves: it is
+    as likely as a word seen once, and no more. If nothing was trained on, they have probability 1. Other columns
     are not read; an empty table gives no rows.
     """
     rows = numbered(docs.select(
@@ -337,7 +339,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     apart = rows.select("row", "text").mapInArrow(rest, "row long, key long")
     met = written(apart.join(tables.nodes, "key").groupBy("row").agg(F.sum("value").alias("met")), "model-sums")
     n, v = tree.tokens, tree.types
-    unseen = np.log10(tree.discount * v / n) if n else 0.0
+    unseen = np.log10((1 - tree.discount) / n) if n else 0.0
     others = scanned.select("row", F.explode("others").alias("key"))
     found = others.join(tables.words, "key", "left")
     logs = found.groupBy("row").agg(
