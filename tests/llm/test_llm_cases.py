@@ -370,3 +370,11 @@ def test_invented_words_score_no_better_than_known_ones(spark):
     made_up = [r.score / r.n_tokens for r in held if r.doc_id >= 300]
     assert known and made_up and max(made_up) < min(known)
     assert all(r.score <= r.n_tokens * np.log10(1 / r.train_tokens) * 0.8 for r in held if r.doc_id >= 300)
+
+
+@pytest.mark.parametrize("bits", [15, 16, 20])
+def test_sketch_keeps_every_node(spark, bits):
+    keys = np.random.default_rng(bits).integers(-(1 << 63), 1 << 63, 3000)
+    nodes = spark.createDataFrame([(int(k), 1.0) for k in keys[:2000]], "key long, value double")
+    kept = language_model._maybe(language_model.node_sketch(nodes, bits), bits, keys.view(np.uint64))
+    assert kept[:2000].all() and kept[2000:].mean() < 2.5 * 2000 / (1 << bits) + 0.01

@@ -11,8 +11,9 @@ The tree is a Spark table of all sequences counted so often, whatever the size o
 probability of a text is a sum over its sequences, so the tree meets the texts in one join: a sequence
 brings what its entry adds to that of its suffix, and the back-off weight it has as a context of the next word.
 Tasks only hold a cache of frequent words (``LOOKUP_SHARE`` of all tokens, at most a million) and
-sequences (``STATE_SHARE``, at most 100,000 of each length), which are left out of the joins; results do
-not depend on it. Words and sequences are 64-bit hashes throughout.
+sequences (``STATE_SHARE``, at most 100,000 of each length), which are left out of the joins, and a sketch of
+fixed size of the tree's other sequences, so that most sequences it lacks never leave their task; results do
+not depend on either. Words and sequences are 64-bit hashes throughout.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ FOLDS, HELD_OUT = 7, 2
 END = np.uint64(1)
 #: Entries a task sums up before it passes them on.
 HELD_ENTRIES = 2_000_000
+#: Slots, as a power of two, of the sketch of the tree's sequences: 16 MB at any size of the corpus.
+SKETCH_BITS = 27
 _CODE_BITS = np.int64(20)
 _SEQUENCE = np.uint64(0xA0761D6478BD642F)
 
@@ -271,8 +274,31 @@ def _in_place(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, ...]:
     return tokens, place, log
 
 
-def _apart(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The sequences that are not among the frequent ones: number of the text, key."""
+def node_sketch(nodes: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+    """One bit per slot of the keys of ``nodes``: 2^bits of them, as bytes.
+
+    Spark's bitmaps of 32,768 bits, at most 2^(bits - 15) of them, are put side by side.
+    """
+    slot = F.pmod("key", F.lit(1 << bits)) + 1
+    rows = nodes.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    sketch = np.zeros(max(1, 1 << (bits - 15)) * 4096, np.uint8)
+    for row in rows.toLocalIterator():
+        sketch[(row["bucket"] - 1) * 4096 : row["bucket"] * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return sketch
+
+
+def _maybe(sketch: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    """False where the sketch says that a key is no node."""
+    slot = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return (sketch[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+
+def _apart(
+    tree: Tree, texts: pa.Array, sketch: np.ndarray | None = None, bits: int = SKETCH_BITS
+) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences that are not among the frequent ones, and may be nodes by the sketch: number of the text, key."""
     _, code, before, second = _coded(tree.symbols, texts)
     tokens, bounds = tokens_of(texts)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -281,6 +307,8 @@ def _apart(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     rows, keys = [], []
     for (last, key, _, _), held in zip(_sequences(tokens, bounds), (pair, triple), strict=True):
         rest = held[last] < 0
+        if sketch is not None:
+            rest &= _maybe(sketch, bits, key)
         rows.append(row[last[rest]])
         keys.append(key[rest])
     return np.concatenate(rows), np.concatenate(keys)
@@ -301,7 +329,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         (id_remainder(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
     ), "model-texts", "row")
     tree, tables = learn(rows.where("not held_out"))
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    context = docs.sparkSession.sparkContext
+    shared, sketch = context.broadcast(tree), context.broadcast(node_sketch(tables.nodes))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +359,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                place, keys = _apart(shared.value, part.column("text"))
+                place, keys = _apart(shared.value, part.column("text"), sketch.value)
                 numbers = part.column("row").to_numpy()[place]
                 yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(keys.view(np.int64))], ["row", "key"])
 
