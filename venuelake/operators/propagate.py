@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -9,13 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuelake import schemas
-from venuelake.operators.skew import hot_keys, skew_join
+from venuelake.operators.skew import skew_join
 from venuelake.session import durable
 
 # One digest gives two hex digits for each of 16 dimensions.
 DIMENSIONS_PER_DIGEST = 16
 # Pairs below the first mean +1, pairs from the second on -1: 43 of 256 each, about a sixth.
 PLUS_BELOW, MINUS_FROM = "2b", "d5"
+# Nodes of a block, of which a task holds the vectors; edges of a cell's part; edges multiplied at once.
+BLOCK_NODES = 16_384
+CELL_EDGES = 200_000
+EDGES_AT_ONCE = 8_192
 
 
 def random_row(node: Column, dimensions: int, seed: int) -> Column:
@@ -39,6 +45,51 @@ def _sign(pair: Column) -> Column:
     return F.when(pair < PLUS_BELOW, 1.0).when(pair >= MINUS_FROM, -1.0).otherwise(0.0)
 
 
+def _blocked(links: DataFrame, nodes: int) -> tuple[DataFrame, DataFrame]:
+    """The adjacency in cells, and where each node's vector is needed.
+
+    Edges (src, dst, weight, s, d, part): ``s`` and ``d`` are the blocks of their ends, ``part`` cuts
+    a cell with many edges by their targets, so that a task holds a block of vectors and
+    ``CELL_EDGES`` edges. The needs are (src, s, d, part), each once.
+    """
+    blocks = max(1, -(-nodes // BLOCK_NODES))
+    block = lambda column: F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+    celled = links.withColumns({"s": block("src"), "d": block("dst")})
+    counts = durable(
+        celled.groupBy("s", "d").agg(F.ceil(F.count(F.lit(1)) / CELL_EDGES).cast("int").alias("cuts"))
+    )
+    cut = F.pmod(F.xxhash64("dst", F.lit(1)), "cuts").cast("int")
+    edges = durable(skew_join(celled, counts, ["s", "d"]).select("src", "dst", "weight", "s", "d", cut.alias("part")))
+    return edges, durable(edges.select("src", "s", "d", "part").distinct())
+
+
+def _multiplied(vectors: pa.Table, edges: pa.Table) -> pa.Table:
+    """Rows (dst, sum, weight) of a cell: the weighted sum of the vectors of each target's sources."""
+    place = {name: at for at, name in enumerate(vectors["src"].to_pylist())}
+    known = np.fromiter((place.get(name, -1) for name in edges["src"].to_pylist()), np.int64, len(edges))
+    edges = edges.append_column("at", pa.array(known)).filter(pa.array(known >= 0))
+    if not len(edges):
+        empty = {"sum": pa.array([], pa.list_(pa.float64())), "weight": pa.array([], pa.float64())}
+        return pa.table({"dst": edges["dst"], **empty})
+    flat = vectors["vector"].combine_chunks()
+    matrix = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+    edges = edges.sort_by("dst")
+    source = edges["at"].to_numpy()
+    weight = edges["weight"].to_numpy().astype(np.float64)
+    targets = edges["dst"].combine_chunks().dictionary_encode()
+    code = targets.indices.to_numpy()
+    sums = np.zeros((len(targets.dictionary), matrix.shape[1]))
+    for start in range(0, len(code), EDGES_AT_ONCE):
+        own = slice(start, start + EDGES_AT_ONCE)
+        first = np.flatnonzero(np.concatenate([[True], np.diff(code[own]) != 0]))
+        sums[code[own][first]] += np.add.reduceat(matrix[source[own]] * weight[own, None], first)
+    bounds = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * matrix.shape[1])
+    return pa.table({
+        "dst": targets.dictionary, "sum": pa.ListArray.from_arrays(bounds, pa.array(sums.ravel())),
+        "weight": np.bincount(code, weight, len(sums)),
+    })
+
+
 def embed(
     nodes: DataFrame,
     edges: DataFrame,
@@ -49,26 +100,30 @@ def embed(
     """``(node, embedding)`` for every node; nodes without edges get a zero vector.
 
     Each round a node takes the weighted mean of its neighbours' vectors; the result is
-    the weighted sum of the unit vectors of all rounds. Parallel edges are summed first,
-    means are combined in the map tasks, and each round is written down, so neither a
-    node with very many edges nor a lost executor holds a round up.
+    the weighted sum of the unit vectors of all rounds. Parallel edges are summed first. A round
+    is a product of blocks: a vector goes once to each block its node has edges into, not along
+    every edge, and a target gets one partial sum from each block of sources. Each round is
+    written down, so neither a node with very many edges nor a lost executor holds it up.
     """
     links = durable(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
-    hot = hot_keys(links, ["src"])
     to_unit = Normalizer(p=2.0, inputCol="mean", outputCol="unit")
     zero = F.array_repeat(F.lit(0.0), dimensions)
     # Node names are short and vectors long: partitions sized for the names would be too few.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    state = durable(nodes.select("node").distinct().repartition(parts, "node")).select(
-        "node", random_row(F.col("node"), dimensions, seed).alias("vector"), zero.alias("total")
-    )
+    names = durable(nodes.select("node").distinct().repartition(parts, "node"))
+    cells, needs = _blocked(links, names.count())
+    state = names.select("node", random_row(F.col("node"), dimensions, seed).alias("vector"), zero.alias("total"))
+    place, kind = ["s", "d", "part"], links.schema["dst"].dataType.simpleString()
     for weight in round_weights:
-        sent = state.select(F.col("node").alias("src"), array_to_vector("vector").alias("vector"))
-        means = (
-            skew_join(links, sent, ["src"], hot=hot)
-            .groupBy("dst")
-            .agg(Summarizer.mean(F.col("vector"), F.col("weight")).alias("mean"))
-            .select(F.col("dst").alias("node"), vector_to_array("mean").alias("mean"))
+        sent = skew_join(needs, state.select(F.col("node").alias("src"), "vector"), ["src"])
+        partial = sent.groupBy(*place).cogroup(cells.toDF(*cells.columns).groupBy(*place)).applyInArrow(
+            _multiplied, f"dst {kind}, sum array<double>, weight double"
+        )
+        means = partial.groupBy("dst").agg(
+            Summarizer.sum(array_to_vector("sum")).alias("sum"), F.sum("weight").alias("weight")
+        ).select(
+            F.col("dst").alias("node"),
+            F.when(F.col("weight") != 0, F.transform(vector_to_array("sum"), lambda x: x / F.col("weight"))).alias("mean"),
         )
         moved = state.select("node", "total").join(means, "node", "left").select(
             "node", "total", F.coalesce("mean", zero).alias("vector")
