@@ -6,8 +6,6 @@ import atexit
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,44 +78,41 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 _SCRATCH: dict[str, str] = {}
+_CURRENT: dict[str, str] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
     """A fresh path below the shared folder, for a table a job writes and reads back.
 
-    All of an application's are in one folder, which goes when the driver ends.
+    All of an application's are in one folder, which goes when the driver ends. Those that are not
+    ``lasting`` go with the part of it that ``open_scratch`` opened last.
     """
     application = spark.sparkContext.applicationId
     if application not in _SCRATCH:
         _SCRATCH[application] = f"{shared_folder(spark).rstrip('/')}/venuelake-{application}-{uuid.uuid4().hex}"
-        atexit.register(_drop_scratch, spark, _SCRATCH[application])
-    return f"{_SCRATCH[application]}/{name}-{uuid.uuid4().hex}"
+        atexit.register(_delete, spark, _SCRATCH[application])
+    folder = _SCRATCH[application] if lasting else _CURRENT.get(application, _SCRATCH[application])
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-@contextmanager
-def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Scratch tables asked for inside go when the block ends; results are to be written elsewhere before.
+def open_scratch(spark: SparkSession) -> str:
+    """A fresh folder for the scratch tables asked for from now on."""
+    folder = scratch_path(spark, "scope", lasting=True)
+    _CURRENT[spark.sparkContext.applicationId] = folder
+    return folder
+
+
+def drop_scratch(spark: SparkSession, folder: str) -> None:
+    """Delete scratch tables before the driver ends.
 
     The shuffle files of jobs nobody refers to any more are let go as well: Spark drops them
     when the driver's garbage is collected, which on a quiet driver can take half an hour.
     """
-    application = spark.sparkContext.applicationId
-    inner = scratch_path(spark, "scope")
-    outer, _SCRATCH[application] = _SCRATCH[application], inner
-    try:
-        yield
-    finally:
-        _SCRATCH[application] = outer
-        _drop_scratch(spark, inner)
-        spark._jvm.System.gc()
-
-
-def drop_scratch_table(spark: SparkSession, path: str) -> None:
-    """Remove a table written to a ``scratch_path`` before the driver ends."""
-    _drop_scratch(spark, path)
+    _delete(spark, folder)
+    spark._jvm.System.gc()
 
 
-def _drop_scratch(spark: SparkSession, folder: str) -> None:
+def _delete(spark: SparkSession, folder: str) -> None:
     if spark.sparkContext._jsc is not None:  # else the session has been stopped already
         place = spark._jvm.org.apache.hadoop.fs.Path(folder)
         place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
