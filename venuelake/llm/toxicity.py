@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from venuelake.llm.tables import id_remainder, written
 from venuelake.llm.words import shingle_hashes, word_hashes
@@ -270,8 +271,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
     given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     rows = docs.select(given, F.col(f"`{text}`").alias("text"))
-    kind = rows.schema["doc"].dataType.simpleString()
-    scored = rows.mapInArrow(score, f"doc {kind}, score double")
+    scored = rows.mapInArrow(score, StructType([rows.schema["doc"], StructField("score", DoubleType())]))
     return scored.select(
         "doc", (id_remainder(F.col(f"doc.`{doc_id}`").cast("string"), 3) == 1).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
