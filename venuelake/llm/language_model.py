@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuelake.llm.tables import chunks, id_remainder, numbered, written
+from venuelake.llm.tables import chunks, id_remainder, partitions_for, release, written
 from venuelake.llm.words import mix, word_hashes
 
 LOOKUP_SHARE = 1e-6
@@ -88,43 +88,61 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def _summed(docs: DataFrame, keys: Callable[[pa.Array], tuple[np.ndarray, ...]], *more: str) -> DataFrame:
-    """How often each 64-bit key that ``keys`` gives for the texts occurs in all: (key, *more, count).
+def _summed(docs: DataFrame, keys: Callable[[pa.Array], tuple[np.ndarray, ...]], names: list[str]) -> DataFrame:
+    """How often each combination of 64-bit keys that ``keys`` gives for the texts occurs in all: (*names, count).
 
-    ``more`` names the further values ``keys`` gives, which depend on the key alone.
+    Tasks sum up what they hold and pass it on as arrays, sorted and dealt by a mix of the keys into as many parts as the
+    session shuffles into: a repeated first key then costs next to nothing, and rows have no headers of their own.
     """
-    names = ["key", *more, "count"]
+    parts = np.uint64(partitions_for(docs))
+    columns = [*names, "count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def merged() -> tuple[np.ndarray, ...]:
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            unique, first, place = np.unique(columns[0], return_index=True, return_inverse=True)
-            return unique, *(c[first] for c in columns[1:-1]), np.bincount(place, columns[-1], len(unique)).astype(np.int64)
+        def merged(rows: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+            joined = [np.concatenate(c) for c in zip(*rows, strict=True)]
+            order = np.lexsort(joined[-2::-1])
+            joined = [c[order] for c in joined]
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in joined[:-1]], axis=0)
+            first = np.flatnonzero(new)
+            if not len(first):
+                return tuple(joined)
+            return *(c[first] for c in joined[:-1]), np.add.reduceat(joined[-1], first)
 
         def passed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in held[0]], names)
+            spread = held[0][0]
+            for column in held[0][1:-1]:
+                spread = _follow(spread, column)
+            part = (mix(spread) % parts).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            found, sizes = np.unique(part, return_counts=True)
+            bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(c[order].view(np.int64))) for c in held[0]]
+            return pa.RecordBatch.from_arrays([pa.array(found), *lists], ["part", *columns])
 
         for batch in batches:
             for part in chunks(batch, "text"):
                 own = keys(part.column("text"))
-                unique, first, counts = np.unique(own[0], return_index=True, return_counts=True)
-                held.append((unique, *(c[first] for c in own[1:]), counts))
-                size += len(unique)
+                held.append(merged([(*own, np.ones(len(own[0]), np.int64))]))
+                size += len(held[-1][0])
                 if size > HELD_ENTRIES:
-                    held = [merged()]
+                    held = [merged(held)]
                     size = len(held[0][0])
                     if size > HELD_ENTRIES // 2:
                         yield passed()
                         held, size = [], 0
-        if held:
-            held = [merged()]
+        if size:
+            held = [merged(held)]
             yield passed()
 
-    counted = docs.select("text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
-    return counted.groupBy("key").agg(*(F.any_value(n).alias(n) for n in more), F.sum("count").alias("count"))
+    fields = ", ".join(f"{n} array<long>" for n in columns)
+    dealt = docs.select("text").mapInArrow(run, f"part long, {fields}").repartition("part")
+    # Equal keys are in one part, so the parts they lie in are dealt out once.
+    rows = dealt.select("part", F.inline(F.arrays_zip(*columns)))
+    return rows.groupBy("part", *names).agg(F.sum("count").alias("count")).drop("part")
 
 
 def _follow(context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -133,13 +151,16 @@ def _follow(context: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def _sequences(tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of two words, then of three: (place of the last token, key, key without the last token, key without the first)."""
+    """Of two words, then of three: (place of the last token, key, key without the last token, key without the first).
+
+    A sequence's key follows from the other two.
+    """
     start = np.repeat(bounds[:-1], np.diff(bounds))
     keys, length = tokens, 1
     while length < 3:
         last = np.flatnonzero(np.arange(len(tokens)) - start >= length)
         longer = np.zeros(len(tokens), np.uint64)
-        longer[last] = _follow(keys[last - 1], tokens[last])
+        longer[last] = _follow(keys[last - 1], keys[last])
         yield last, longer[last], keys[last - 1], keys[last]
         keys, length = longer, length + 1
 
@@ -166,7 +187,7 @@ def _coded(symbols: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
 
 def learn(docs: DataFrame) -> tuple[Tree, Tables]:
     """The frequent part of the tree of the training texts, and the tables of the whole."""
-    counts = written(_summed(docs, lambda texts: tokens_of(texts)[:1]), "model-words")
+    counts = written(_summed(docs, lambda texts: tokens_of(texts)[:1], ["key"]), "model-words")
     total = counts.agg(
         F.sum("count"), F.count(F.lit(1)), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)
     ).first()
@@ -179,7 +200,8 @@ def learn(docs: DataFrame) -> tuple[Tree, Tables]:
     pairs, first = _level(docs, 0, root)
     triples, second = _level(docs, 1, pairs)
     words = written(_weighed(counts, first), "model-weights")
-    pairs = written(_weighed(pairs, second), "model-pairs")
+    grown, pairs = pairs, written(_weighed(pairs, second), "model-pairs")
+    release(counts, grown, first, second)
     nodes = pairs.select("key", (F.col("gain") + F.col("alpha")).alias("value")).union(
         triples.select("key", F.col("gain").alias("value"))
     ).where("value <> 0")
@@ -217,10 +239,17 @@ def _level(docs: DataFrame, level: int, below: DataFrame) -> tuple[DataFrame, Da
     suffix of the context that is a state, ``gain`` its log less those of ``p`` of ``lower`` and of the context's weight.
     """
 
+    # A sequence is counted twice only if both that are one shorter are.
+    sketch = docs.sparkSession.sparkContext.broadcast(node_sketch(below))
+
     def sequences(texts: pa.Array) -> tuple[np.ndarray, ...]:
-        return list(_sequences(*tokens_of(texts)))[level][1:]
+        _, _, context, lower = list(_sequences(*tokens_of(texts)))[level]
+        kept = _maybe(sketch.value, SKETCH_BITS, context) & _maybe(sketch.value, SKETCH_BITS, lower)
+        return context[kept], lower[kept]
 
-    counted = _summed(docs, sequences, "context", "lower").where(F.col("count") >= MIN_COUNT)
+    counted = written(
+        _summed(docs, sequences, ["context", "lower"]).where(F.col("count") >= MIN_COUNT), "model-counted"
+    )
     here = (F.col("count") + PRIOR * F.col("below")) / (F.col("n") + PRIOR)
     met = written(
         counted.join(below.select(F.col("key").alias("lower"), F.col("p").alias("below")), "lower")
@@ -228,6 +257,7 @@ def _level(docs: DataFrame, level: int, below: DataFrame) -> tuple[DataFrame, Da
         .withColumn("here", here).drop("n"),
         "model-met",
     )
+    release(counted)
     rest = lambda name: F.greatest(F.lit(1e-9), 1 - F.sum(name))
     sums = met.groupBy("context").agg(
         F.sum(F.col("here") * F.log(F.col("here") / F.col("below"))).alias("part"),
@@ -241,12 +271,22 @@ def _level(docs: DataFrame, level: int, below: DataFrame) -> tuple[DataFrame, Da
         "model-states",
     )
     grown = met.join(states.withColumnRenamed("key", "context"), "context", "left").select(
-        "key", "context", "lower", "count",
+        "context", "lower", "count",
         F.when(F.col("alpha").isNull(), F.col("below")).otherwise(F.col("here")).alias("p"),
         F.when(F.col("alpha").isNull(), F.lit(0.0))
         .otherwise(F.log10(F.col("here") / F.col("below")) - F.col("alpha")).alias("gain"),
     )
-    return written(grown, "model-level"), states
+    kept = written(grown.mapInArrow(_keyed, "key long, context long, lower long, count long, p double, gain double"), "model-level")
+    release(met)
+    return kept, states
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the key that follows from their context and lower sequence."""
+    for batch in batches:
+        context, lower = (batch.column(n).to_numpy().view(np.uint64) for n in ("context", "lower"))
+        key = pa.array(_follow(context, lower).view(np.int64))
+        yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", *batch.schema.names])
 
 
 def _weighed(sequences: DataFrame, states: DataFrame) -> DataFrame:
@@ -324,10 +364,10 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     as likely as a word seen once, and no more. If nothing was trained on, they have probability 1. Other columns
     are not read; an empty table gives no rows.
     """
-    rows = numbered(docs.select(
+    rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
         (id_remainder(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
-    ), "model-texts", "row")
+    )
     tree, tables = learn(rows.where("not held_out"))
     context = docs.sparkSession.sparkContext
     shared, sketch = context.broadcast(tree), context.broadcast(node_sketch(tables.nodes))
@@ -343,29 +383,29 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 known = place >= 0
                 base = np.where(known, np.log10(model.counts[place] + 1.0), 0.0) if len(model.words) else np.zeros(len(tokens))
                 other = np.concatenate([[0], np.cumsum(~known)])
+                lists = np.concatenate([[0], ends])
+                text_of, keys = _apart(model, part.column("text"), sketch.value)
+                keys = keys[np.argsort(text_of, kind="stable")]
+                apart = np.concatenate([[0], np.cumsum(np.bincount(text_of, minlength=len(ends)))])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(ends - starts),
                         pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                         pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log, starts)),
                         pa.ListArray.from_arrays(
-                            pa.array(other[np.concatenate([[0], ends])].astype(np.int32)),
-                            pa.array(tokens[~known].view(np.int64)),
+                            pa.array(other[lists].astype(np.int32)), pa.array(tokens[~known].view(np.int64))
                         ),
+                        pa.ListArray.from_arrays(pa.array(apart.astype(np.int32)), pa.array(keys.view(np.int64))),
                     ],
-                    ["row", "doc_id", "held_out", "n_tokens", "known", "base", "log", "others"],
+                    ["row", "doc_id", "held_out", "n_tokens", "known", "base", "log", "others", "apart"],
                 )
 
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                place, keys = _apart(shared.value, part.column("text"), sketch.value)
-                numbers = part.column("row").to_numpy()[place]
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(keys.view(np.int64))], ["row", "key"])
-
-    columns = f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, log double, others array<long>"
-    scanned = written(rows.mapInArrow(scan, columns), "model-scan")
-    apart = rows.select("row", "text").mapInArrow(rest, "row long, key long")
+    columns = (
+        f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, log double,"
+        " others array<long>, apart array<long>"
+    )
+    scanned = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(scan, columns), "model-scan")
+    apart = scanned.select("row", F.explode("apart").alias("key"))
     met = written(apart.join(tables.nodes, "key").groupBy("row").agg(F.sum("value").alias("met")), "model-sums")
     n, v = tree.tokens, tree.types
     unseen = np.log10((1 - tree.discount) / n) if n else 0.0
@@ -380,7 +420,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         ).alias("more_log"),
     )
     zero = F.lit(0.0)
-    return scanned.drop("others").join(logs, "row", "left").join(met, "row", "left").select(
+    return scanned.drop("others", "apart").join(logs, "row", "left").join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", zero) - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"),
