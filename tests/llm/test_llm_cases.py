@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from math import log, log10
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -207,13 +210,18 @@ def test_language_model_scores_are_a_distribution(spark, past):
     """At the start of a text, after a rare word and after known contexts, over all words and what is left for the unseen."""
     docs = spark.createDataFrame([("a b c a b d " * 20,), ("a b c x",), ("c a y",)], "text string")
     tree, _ = language_model.learn(docs)
+
+    def in_place(text):
+        tokens, bounds = language_model.tokens_of(pa.array([text]))
+        return language_model._in_place(tree, tokens, language_model._coded(tree.symbols, tokens, bounds))
+
     nexts = ["a", "b", "c", "d", "x", "y", "unseen"]
     total = 0.0
     for word in nexts:
-        tokens, place, log = language_model._in_place(tree, pa.array([f"{past} {word}"]))
+        place, log = in_place(f"{past} {word}")
         unseen = np.log10(tree.discount * tree.types / tree.tokens)
         total += 10 ** (log[-2] + (unseen if place[-2] < 0 else 0))
-    _, _, log = language_model._in_place(tree, pa.array([past]))
+    _, log = in_place(past)
     assert total + 10 ** log[-1] == pytest.approx(1)
 
 
@@ -359,6 +367,55 @@ def test_components(spark):
     assert {r.node: r.component for r in rows} == root and len(rows) == len(root)
 
 
+def _brute_force_scores(texts, trained):
+    """Scores by dictionaries of all sequences of up to three tokens; None is a text's end."""
+    texts = [(*text.lower().split(), None) for text in texts]
+    counts = [Counter(), Counter(), Counter()]
+    for text, learnt in zip(texts, trained):
+        for size in (1, 2, 3) if learnt else ():
+            counts[size - 1].update(text[k : k + size] for k in range(len(text) - size + 1))
+    total, times = counts[0].total(), Counter(counts[0].values())
+    discount = times[1] / (times[1] + 2 * times[2]) if times[2] else 0.5
+    root = {w: (n - discount) / total for w, n in counts[0].items()}
+    probabilities, weights, below = {}, {}, {w: root[w] for w, n in counts[0].items() if n >= 2}
+    for size in (2, 3):
+        after = defaultdict(list)
+        for sequence, n in counts[size - 1].items():
+            if n >= 2:
+                after[sequence[:-1]].append((sequence, (n + 10 * below[sequence[1:]]) / (counts[size - 2][sequence[:-1]] + 10)))
+        level = {}
+        for context, entries in after.items():
+            p = sum(here for _, here in entries), sum(below[s[1:]] for s, _ in entries)
+            rest = [max(1e-9, 1 - x) for x in p]
+            gain = sum(here * log(here / below[s[1:]]) for s, here in entries) + rest[0] * log(rest[0] / rest[1])
+            if gain >= 0.01:
+                weights[context] = rest[0] / rest[1]
+            level |= {s: here if gain >= 0.01 else below[s[1:]] for s, here in entries}
+        probabilities, below = probabilities | level, level
+    for text in texts:
+        score = 0.0
+        for k, token in enumerate(text):
+            p = root.get((token,), (1 - discount) / total)
+            for context in (text[max(0, k - size) : k] for size in (1, 2) if k >= size):
+                if context in weights:
+                    p = probabilities.get((*context, token), p * weights[context])
+            score += log10(p)
+        yield score
+
+
+@pytest.mark.parametrize("held", [1e-5, 0.02])
+def test_scores_are_those_of_a_tree_by_brute_force(spark, monkeypatch, held):
+    """Every score, whether the tasks hold the tree or it is joined."""
+    monkeypatch.setattr(language_model, "STATE_SHARE", held)
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{k}" for k in np.minimum(rng.zipf(1.4, rng.integers(1, 60)), 200)) for _ in range(150)]
+    texts += ["", "never seen words", texts[3], texts[3], " ".join(["w1 w2"] * 200)]
+    rows = language_model.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    rows.sort(key=lambda r: r.doc_id)
+    expected = list(_brute_force_scores(texts, [not r.held_out for r in rows]))
+    assert [r.score for r in rows] == pytest.approx(expected)
+
+
 def test_invented_words_score_no_better_than_known_ones(spark):
     """A text of words nobody wrote is less likely than one of words seen once, and one more such word costs the same."""
     texts = [f"common words of the text come often again {k} rare{k}" for k in range(300)]

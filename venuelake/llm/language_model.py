@@ -19,6 +19,7 @@ not depend on either. Words and sequences are 64-bit hashes throughout.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -172,9 +173,8 @@ def _pack(*codes: np.ndarray) -> np.ndarray:
     return key
 
 
-def _coded(symbols: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of the texts, and codes of each and of the two before it in its text; -1 is no symbol."""
-    tokens, bounds = tokens_of(texts)
+def _coded(symbols: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of each token and of the two before it in its text; -1 is no symbol."""
     code = find(symbols, tokens)
     before, second = np.full(len(code), -1, np.int64), np.full(len(code), -1, np.int64)
     before[1:], second[2:] = code[:-1], code[:-2]
@@ -182,7 +182,7 @@ def _coded(symbols: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
     before[starts] = -1
     second[starts] = -1
     second[np.minimum(starts + 1, len(code) - 1)] = -1
-    return tokens, code, before, second
+    return code, before, second
 
 
 def learn(docs: DataFrame) -> tuple[Tree, Tables]:
@@ -243,7 +243,7 @@ def _level(docs: DataFrame, level: int, below: DataFrame) -> tuple[DataFrame, Da
     sketch = docs.sparkSession.sparkContext.broadcast(node_sketch(below))
 
     def sequences(texts: pa.Array) -> tuple[np.ndarray, ...]:
-        _, _, context, lower = list(_sequences(*tokens_of(texts)))[level]
+        _, _, context, lower = next(islice(_sequences(*tokens_of(texts)), level, None))
         kept = _maybe(sketch.value, SKETCH_BITS, context) & _maybe(sketch.value, SKETCH_BITS, lower)
         return context[kept], lower[kept]
 
@@ -294,9 +294,9 @@ def _weighed(sequences: DataFrame, states: DataFrame) -> DataFrame:
     return sequences.join(states, "key", "left").withColumn("alpha", F.coalesce("alpha", F.lit(0.0)))
 
 
-def _in_place(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, ...]:
+def _in_place(tree: Tree, tokens: np.ndarray, codes: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Per token: place among the looked-up words (or -1), log probability by the frequent part of the tree."""
-    tokens, code, before, second = _coded(tree.symbols, texts)
+    code, before, second = codes
     place = find(tree.words, tokens)
     log = np.where(place >= 0, np.log10(np.maximum(tree.counts[place] - tree.discount, 1e-9) / max(1, tree.tokens)), 0.0) \
         if len(tree.words) else np.zeros(len(tokens))
@@ -311,7 +311,7 @@ def _in_place(tree: Tree, texts: pa.Array) -> tuple[np.ndarray, ...]:
     if len(tree.words):
         # The weight of a word as the next one's context, unless it is a symbol, whose weight is among the states.
         log[1:] += np.where((place[:-1] >= 0) & (tokens[:-1] != END), tree.alphas[place[:-1]], 0.0)
-    return tokens, place, log
+    return place, log
 
 
 def node_sketch(nodes: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
@@ -336,19 +336,16 @@ def _maybe(sketch: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
 
 
 def _apart(
-    tree: Tree, texts: pa.Array, sketch: np.ndarray | None = None, bits: int = SKETCH_BITS
+    tree: Tree, tokens: np.ndarray, bounds: np.ndarray, codes: tuple[np.ndarray, ...], sketch: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """The sequences that are not among the frequent ones, and may be nodes by the sketch: number of the text, key."""
-    _, code, before, second = _coded(tree.symbols, texts)
-    tokens, bounds = tokens_of(texts)
+    code, before, second = codes
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     pair = np.where((before >= 0) & (code >= 0), find(tree.entries, _pack(before, code)), -1)
     triple = np.where((second >= 0) & (pair >= 0), find(tree.entries, _pack(second, before, code)), -1)
     rows, keys = [], []
     for (last, key, _, _), held in zip(_sequences(tokens, bounds), (pair, triple), strict=True):
-        rest = held[last] < 0
-        if sketch is not None:
-            rest &= _maybe(sketch, bits, key)
+        rest = (held[last] < 0) & _maybe(sketch, SKETCH_BITS, key)
         rows.append(row[last[rest]])
         keys.append(key[rest])
     return np.concatenate(rows), np.concatenate(keys)
@@ -377,14 +374,14 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         model = shared.value
         for batch in batches:
             for part in chunks(batch, "text"):
-                tokens, place, log = _in_place(model, part.column("text"))
-                ends = np.flatnonzero(tokens == END) + 1
-                starts = np.concatenate([[0], ends[:-1]])
+                tokens, bounds = tokens_of(part.column("text"))
+                codes = _coded(model.symbols, tokens, bounds)
+                place, log = _in_place(model, tokens, codes)
+                starts, ends = bounds[:-1], bounds[1:]
                 known = place >= 0
                 base = np.where(known, np.log10(model.counts[place] + 1.0), 0.0) if len(model.words) else np.zeros(len(tokens))
                 other = np.concatenate([[0], np.cumsum(~known)])
-                lists = np.concatenate([[0], ends])
-                text_of, keys = _apart(model, part.column("text"), sketch.value)
+                text_of, keys = _apart(model, tokens, bounds, codes, sketch.value)
                 keys = keys[np.argsort(text_of, kind="stable")]
                 apart = np.concatenate([[0], np.cumsum(np.bincount(text_of, minlength=len(ends)))])
                 yield pa.RecordBatch.from_arrays(
@@ -393,7 +390,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                         pa.array(np.add.reduceat(known.astype(np.int64), starts)),
                         pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(log, starts)),
                         pa.ListArray.from_arrays(
-                            pa.array(other[lists].astype(np.int32)), pa.array(tokens[~known].view(np.int64))
+                            pa.array(other[bounds].astype(np.int32)), pa.array(tokens[~known].view(np.int64))
                         ),
                         pa.ListArray.from_arrays(pa.array(apart.astype(np.int32)), pa.array(keys.view(np.int64))),
                     ],
