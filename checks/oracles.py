@@ -531,6 +531,28 @@ oracle(
         "points_b": utm_sql("lat", "lon", "venues_b", "ta_id", 15),
     },
 )
+GLOBE = {
+    f"globe_{table}": f"""
+        SELECT {key}, degrees(asin(least(({key} * 7919 % 20011) / 10005.0::DOUBLE - 1, 1.0))) AS lat,
+               ({key} * 104729 % 36007) / 100.0::DOUBLE - 180 AS lon FROM {table}"""
+    for table, key in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey"))
+}
+GREAT_CIRCLE = """2 * 6378140.0::DOUBLE * asin(least(1.0, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2)
+    + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"""
+oracle(
+    "globe_within_distance",
+    f"""SELECT o_orderkey, c_custkey, round(d, 3) AS distance_m
+    FROM (SELECT o_orderkey, c_custkey, {GREAT_CIRCLE} AS d FROM globe_orders a, globe_customer b) WHERE d < 100000""",
+    GLOBE,
+)
+oracle(
+    "globe_nearest_places",
+    f"""SELECT c_custkey, place, s_suppkey, round(d, 3) AS distance_m FROM (
+        SELECT c_custkey, s_suppkey, d, row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) AS place
+        FROM (SELECT c_custkey, s_suppkey, {GREAT_CIRCLE} AS d FROM globe_customer a, globe_supplier b))
+    WHERE place <= 3""",
+    GLOBE,
+)
 oracle(
     "build_restaurants",
     """SELECT key, place_id AS go_key, ta_id AS ta_key, "name" AS restaurant_name, vicinity AS address,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import standins as s
 from venuelake import schemas
 from venuelake.functions import dates, text
-from venuelake.operators import mutate, spatial
+from venuelake.operators import globe, mutate, spatial
 from venuelake.operators.neighbors import nearest
 from venuelake.operators.normalize import explode_values, keyed_values, normalize
 from venuelake.operators.propagate import embed
@@ -648,6 +648,23 @@ def spatial_other_zone(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.select("place_id", "ta_id", F.round("distance_m", 3).alias("distance_m"))
 
 
+@query
+def globe_within_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and customers less than 100 km apart, all over the globe."""
+    pairs = globe.within_distance(s.globe_points(spark, folder, "orders", "o_orderkey", ""),
+                                  s.globe_points(spark, folder, "customer", "c_custkey", "ta_"), 100_000.0)
+    return pairs.select("o_orderkey", "c_custkey", F.round("distance_m", 3).alias("distance_m"))
+
+
+@query
+def globe_nearest_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The three suppliers nearest to every customer, wherever they are."""
+    near = globe.nearest_places(s.globe_points(spark, folder, "customer", "c_custkey", ""),
+                                s.globe_points(spark, folder, "supplier", "s_suppkey", "ta_"),
+                                3, "c_custkey", "s_suppkey", start=200_000.0)
+    return near.select("c_custkey", F.col("rank").alias("place"), "s_suppkey", F.round("distance_m", 3).alias("distance_m"))
+
+
 def _matched(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.match_venues(s.venues_a(spark, folder), s.venues_b(spark, folder))
 

@@ -158,3 +158,13 @@ def venues_b(spark: SparkSession, folder: str) -> DataFrame:
     from venuelake.plans.warehouse import prepare_venue_b
 
     return prepare_venue_b(venues_b_raw(spark, folder))
+
+
+def globe_points(spark: SparkSession, folder: str, table: str, key: str, prefix: str) -> DataFrame:
+    """Rows of a table at points spread over the whole globe, which follow from their keys; some share one."""
+    up = F.pmod(F.col(key) * 7919, F.lit(20011)) / 10005.0 - 1
+    return given(spark, folder, table).select(
+        key,
+        F.degrees(F.asin(F.least(up, F.lit(1.0)))).alias(f"{prefix}latitude"),
+        (F.pmod(F.col(key) * 104729, F.lit(36007)) / 100.0 - 180).alias(f"{prefix}longitude"),
+    )

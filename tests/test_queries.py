@@ -17,6 +17,7 @@ OPERATOR = re.compile(r"op\d+_|pipeline$")
 SKEWED = [
     "daily_stats", "monthly_history_ranked", "visitor_profile", "peer_rank", "normalize_bridge", "upsert_default_key",
     "append_new_keys", "replace_value_sets", "cascade_delete", "assign_keys", "spatial_inner", "spatial_left",
+    "globe_within_distance", "globe_nearest_places",
     "build_cuisines", "build_long_reviews", "build_michelin", "external_images", "graph_edges_bag", "knn_exact",
     "recommend_batch", "recent_restaurants",
 ]
