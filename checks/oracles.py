@@ -713,9 +713,12 @@ oracle(
 )
 oracle(
     "delete_closed",
-    """SELECT restaurant_key, cuisine FROM cuisine_rows JOIN matched ON key = restaurant_key
-    WHERE business_status IS DISTINCT FROM 'CLOSED_PERMANENTLY'""",
-    VENUES,
+    """SELECT 'restaurants' AS kind, key AS restaurant_key, place_id AS "value", NULL::DOUBLE AS rating FROM open_now
+    UNION ALL SELECT 'cuisines', restaurant_key, cuisine, NULL FROM cuisine_rows JOIN open_now ON key = restaurant_key
+    UNION ALL SELECT 'meals', restaurant_key, meals, NULL FROM meal_rows JOIN open_now ON key = restaurant_key
+    UNION ALL SELECT 'rating', key, 'google', rating FROM open_now WHERE NOT isnan(rating)
+    UNION ALL SELECT 'rating', key, 'tripadvisor', ta_rating FROM open_now""",
+    VENUES | {"open_now": "SELECT * FROM matched WHERE business_status IS DISTINCT FROM 'CLOSED_PERMANENTLY'"},
 )
 
 # Graph

@@ -792,15 +792,26 @@ def update_partner_meals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def delete_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of the restaurants and all tables built with them, one row per row there."""
     matched = durable(_matched(spark, folder))
     restaurants = warehouse.build_restaurants(matched)
     closed = s.venues_a(spark, folder).where("business_status = 'CLOSED_PERMANENTLY'").select("place_id")
     tables = {
-        "restaurants": mutate.mark_closed(restaurants, closed),
-        "cuisines": warehouse.build_cuisines(matched), "rating": warehouse.build_ratings(matched),
+        "restaurants": mutate.mark_closed(restaurants, closed), "cuisines": warehouse.build_cuisines(matched),
+        "meals": warehouse.build_meals(matched), "rating": warehouse.build_ratings(matched),
     }
     kept = warehouse.delete_closed(tables)
-    return kept["cuisines"].select("restaurant_key", "cuisine")
+    shown = {
+        "restaurants": ("key", "go_key", F.lit(None)), "cuisines": ("restaurant_key", "cuisine", F.lit(None)),
+        "meals": ("restaurant_key", "meals", F.lit(None)), "rating": ("ra_key", "source", F.col("rating")),
+    }
+    return reduce(DataFrame.union, [
+        kept[name].select(
+            F.lit(name).alias("kind"), F.col(key).alias("restaurant_key"), F.col(value).alias("value"),
+            rating.cast("double").alias("rating"),
+        )
+        for name, (key, value, rating) in shown.items()
+    ])
 
 
 # Changes that touch only buckets
