@@ -531,6 +531,13 @@ oracle(
         "points_b": utm_sql("lat", "lon", "venues_b", "ta_id", 15),
     },
 )
+oracle(
+    "image_round_trip",
+    """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS width, 1 AS height, 1 AS channels,
+        CAST(list_sum(list_transform(embedding, lambda x, i:
+            CAST(greatest(0, least(255, floor((x::DOUBLE + 1) * 127.5))) AS BIGINT) * i)) AS BIGINT) AS checksum
+    FROM embeddings WHERE len(embedding) > 0""",
+)
 GLOBE = {
     f"globe_{table}": f"""
         SELECT {key}, degrees(asin(least(({key} * 7919 % 20011) / 10005.0::DOUBLE - 1, 1.0))) AS lat,

@@ -17,7 +17,7 @@ from venuelake.operators.normalize import explode_values, keyed_values, normaliz
 from venuelake.operators.propagate import embed
 from venuelake.plans import app_data, graph, increments, jobs, marts, recommend, serving, warehouse
 from venuelake.session import durable, scratch_path
-from venuelake.sources import arrivals, buckets
+from venuelake.sources import arrivals, buckets, pixel_files
 from venuelake.sources import images as image_files
 from venuelake.sources import tables as sources
 from venuelake.sources.lake import publish, read_current
@@ -506,6 +506,27 @@ def _order_changes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def image_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector written as a grey image file of one line, and sizes and pixels read from the files."""
+    grey = F.transform("embedding", lambda x: F.greatest(F.lit(0), F.least(
+        F.lit(255), F.floor((x.cast("double") + 1) * 127.5))))
+    code = F.transform(grey, lambda x: F.lpad(F.hex(x), 2, "0"))
+    pixels = F.unhex(F.array_join(code, ""))
+    path = scratch_path(spark, "pixels")
+    rows = s.given(spark, folder, "embeddings").where("size(embedding) > 0").select(
+        F.col("vec_id").cast("string").alias("name"), F.size("embedding").alias("width"), F.lit(1).alias("height"),
+        F.lit(1).alias("channels"), pixels.alias("pixels"),
+    )
+    pixel_files.write_images(rows, path)
+    terms = F.transform("pixels", lambda x, at: x.cast("long") * (at + 1))
+    return image_files.image_vectors(spark, path).select(
+        F.regexp_extract("origin", r"(\d+)\.png$", 1).cast("long").alias("vec_id"),
+        "width", "height", F.col("nChannels").alias("channels"),
+        F.aggregate(terms, F.lit(0).cast("long"), lambda total, x: total + x).alias("checksum"),
+    )
+
+
 @query
 def upsert_all(spark: SparkSession, folder: str) -> DataFrame:
     return mutate.upsert(s.given(spark, folder, "orders"), _order_changes(spark, folder), ["o_orderkey"])
@@ -1159,10 +1180,12 @@ def open_places(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(places, "latitude", "longitude")
 
 
-def _recommendation_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _recommendation_inputs(
+    spark: SparkSession, folder: str, user: int | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     at = F.lit(AT).cast("timestamp_ntz")
     return (
-        recommend.recent_restaurants(s.swipes(spark, folder), s.images(spark, folder)),
+        recommend.recent_restaurants(s.swipes(spark, folder), s.images(spark, folder), user=user),
         _similar(spark, folder),
         recommend.open_places(
             s.restaurants(spark, folder), s.opening_hours(spark, folder), warehouse.weekdays(spark), at
@@ -1182,13 +1205,13 @@ def recommend_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def recommend_single(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = recommend.recommend_for(7, 41.35, 2.15, *_recommendation_inputs(spark, folder))
+    chosen = recommend.recommend_for(7, 41.35, 2.15, *_recommendation_inputs(spark, folder, 7))
     return chosen.withColumn("distance", F.round("distance", 2))
 
 
 @query
 def recommend_from_any(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = recommend.recommend_for(7, 41.35, 2.15, *_recommendation_inputs(spark, folder), from_any=True)
+    chosen = recommend.recommend_for(7, 41.35, 2.15, *_recommendation_inputs(spark, folder, 7), from_any=True)
     return chosen.withColumn("distance", F.round("distance", 2))
 
 

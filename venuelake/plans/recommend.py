@@ -39,8 +39,15 @@ def similar_restaurants(nodes: DataFrame, edges: DataFrame, k: int = SIMILAR_VEN
     )
 
 
-def recent_restaurants(swipes: DataFrame, images: DataFrame, n: int = RECENT_LIKES) -> DataFrame:
-    """``(userId, restaurantId)`` of each user's latest likes; a restaurant may repeat."""
+def recent_restaurants(
+    swipes: DataFrame, images: DataFrame, n: int = RECENT_LIKES, user: int | None = None
+) -> DataFrame:
+    """``(userId, restaurantId)`` of each user's latest likes; a restaurant may repeat.
+
+    With ``user`` only that one's swipes are read.
+    """
+    if user is not None:
+        swipes = swipes.where(F.col("userId") == user)
     likes = swipes.where(F.col("swipeLeft") == 0).select("id", "userId", "imageId", "timestamp")
     owners = images.select(F.col("id").alias("imageId"), "restaurantId").where("restaurantId is not null")
     placed = skew_join(likes, owners, ["imageId"], counted=swipes)

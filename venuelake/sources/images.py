@@ -39,6 +39,12 @@ def image_headers(spark: SparkSession, folder: str) -> DataFrame:
     return images.select("image.origin", "image.width", "image.height", "image.nChannels")
 
 
+def unreadable_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths of the files that are no images, which ``image_headers`` and ``image_vectors`` leave out."""
+    images = spark.read.format("image").option("dropInvalid", "false").load(folder)
+    return images.where("image.nChannels <= 0").select("image.origin")
+
+
 def image_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Each image's pixel values as one array, row by row, channels interleaved."""
     images = spark.read.format("image").option("dropInvalid", "true").load(folder)
