@@ -44,7 +44,7 @@ class _Writer(DataSourceWriter):
         os.makedirs(self.folder, exist_ok=True)
         count = 0
         for row in iterator:
-            fits = None not in row and row.channels in PNG_COLOUR and min(row.width, row.height) > 0 \
+            fits = None not in tuple(row) and row.channels in PNG_COLOUR and min(row.width, row.height) > 0 \
                 and len(row.pixels) == row.width * row.height * row.channels
             if not fits:
                 raise ValueError(f"{row.name}: pixels do not fit the image's size")
