@@ -120,6 +120,16 @@ def test_upsert_with_repeated_key_raises(spark):
             run()
 
 
+def test_upsert_with_different_constants_in_the_key_joins_by_the_rest(spark):
+    """Two load days that Spark knows to differ must not make every row meet every other."""
+    rows = lambda n, day: spark.range(n).select("id", (F.col("id") * 2).alias("v"), F.lit(day).cast("date").alias("day"))
+    changed = mutate.upsert(rows(5, "2024-03-05"), rows(3, "2024-03-06"), ["id", "day"])
+    assert "NestedLoop" not in changed._jdf.queryExecution().executedPlan().toString()
+    assert changed.count() == 8 and changed.distinct().count() == 8
+    again = mutate.upsert(changed, rows(3, "2024-03-06").withColumn("v", F.lit(-1).cast("long")), ["id", "day"])
+    assert again.count() == 8 and again.where("v = -1").count() == 3
+
+
 def test_upsert_reads_its_target_once(spark, tmp_path):
     spark.range(10).selectExpr("id as k", "id as v").write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
