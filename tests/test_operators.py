@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -287,3 +288,24 @@ def test_embedding(spark, many_hot_keys):
     assert any(not np.allclose(first[n], other[n]) for n in first)
     # a and c see the same neighbour b in the first round.
     assert np.linalg.norm(first["a"]) > 0
+
+
+def test_embedding_in_many_blocks_equals_one_and_keeps_one_round(spark, monkeypatch):
+    """Blocks cut into parts give the same vectors; of the rounds' tables only the last one stays."""
+    from venuelake.operators import propagate
+
+    ends = F.concat(F.lit("n"), F.col("id") % 7), F.concat(F.lit("n"), F.col("id") * 13 % 60)
+    edges = spark.range(400).select(ends[0].alias("src"), ends[1].alias("dst"), (F.col("id") % 3 + 1.0).alias("weight"))
+    edges = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+    nodes = edges.select(F.col("src").alias("node")).distinct()
+    vectors = lambda df: {r["node"]: np.array(r["embedding"]) for r in df.collect()}
+    whole = vectors(embed(nodes, edges, 32))
+    monkeypatch.setattr(propagate, "BLOCK_EDGES", 40)
+    monkeypatch.setattr(propagate, "PART_EDGES", 25)
+    cut = embed(nodes, edges, 32)
+    folder = Path(cut.inputFiles()[0].removeprefix("file:")).parent.parent
+    rounds = len(list(folder.glob("embedding-*")))
+    again = vectors(embed(nodes, edges, 32))
+    assert len(list(folder.glob("embedding-*"))) == rounds + 1
+    assert whole.keys() == again.keys() and all(np.allclose(whole[n], again[n], atol=1e-6) for n in whole)
+    assert any(whole[n].any() for n in whole)

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from venuelake import schemas
 from venuelake.operators.skew import skew_join
-from venuelake.session import durable
+from venuelake.session import durable, release, written
 
 # One digest gives two hex digits for each of 16 dimensions.
 DIMENSIONS_PER_DIGEST = 16
 # Pairs below the first mean +1, pairs from the second on -1: 43 of 256 each, about a sixth.
 PLUS_BELOW, MINUS_FROM = "2b", "d5"
-# Nodes of a block, of which a task holds the vectors; edges of a cell's part; edges multiplied at once.
-BLOCK_NODES = 16_384
-CELL_EDGES = 200_000
+# Edges into a block on average, and at most into one part of it: a task holds a vector for each at most.
+BLOCK_EDGES = 16_384
+PART_EDGES = 2 * BLOCK_EDGES
 EDGES_AT_ONCE = 8_192
 
 
@@ -45,26 +45,25 @@ def _sign(pair: Column) -> Column:
     return F.when(pair < PLUS_BELOW, 1.0).when(pair >= MINUS_FROM, -1.0).otherwise(0.0)
 
 
-def _blocked(links: DataFrame, nodes: int) -> tuple[DataFrame, DataFrame]:
-    """The adjacency in cells, and where each node's vector is needed.
+def _blocked(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The adjacency in blocks of targets, and where each node's vector is needed.
 
-    Edges (src, dst, weight, s, d, part): ``s`` and ``d`` are the blocks of their ends, ``part`` cuts
-    a cell with many edges by their targets, so that a task holds a block of vectors and
-    ``CELL_EDGES`` edges. The needs are (src, s, d, part), each once.
+    Edges (src, dst, weight, block, part): all edges of a target lie in its ``block``, so it gets one
+    sum. A block with too many edges, such as those of a much-linked node, is cut into parts by the
+    sources, and only there a target gets several. The needs are (src, block, part), each once.
     """
-    blocks = max(1, -(-nodes // BLOCK_NODES))
-    block = lambda column: F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
-    celled = links.withColumns({"s": block("src"), "d": block("dst")})
+    blocks = max(1, -(-links.count() // BLOCK_EDGES))
+    own = links.withColumn("block", F.pmod(F.xxhash64("dst"), F.lit(blocks)).cast("int"))
     counts = durable(
-        celled.groupBy("s", "d").agg(F.ceil(F.count(F.lit(1)) / CELL_EDGES).cast("int").alias("cuts"))
+        own.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PART_EDGES).cast("int").alias("cuts"))
     )
-    cut = F.pmod(F.xxhash64("dst", F.lit(1)), "cuts").cast("int")
-    edges = durable(skew_join(celled, counts, ["s", "d"]).select("src", "dst", "weight", "s", "d", cut.alias("part")))
-    return edges, durable(edges.select("src", "s", "d", "part").distinct())
+    cut = F.pmod(F.xxhash64("src", F.lit(1)), "cuts").cast("int")
+    edges = durable(skew_join(own, counts, ["block"]).select("src", "dst", "weight", "block", cut.alias("part")))
+    return edges, durable(edges.select("src", "block", "part").distinct())
 
 
 def _multiplied(vectors: pa.Table, edges: pa.Table) -> pa.Table:
-    """Rows (dst, sum, weight) of a cell: the weighted sum of the vectors of each target's sources."""
+    """Rows (dst, sum, weight) of a block: the weighted sum of the vectors of each target's sources."""
     place = {name: at for at, name in enumerate(vectors["src"].to_pylist())}
     known = np.fromiter((place.get(name, -1) for name in edges["src"].to_pylist()), np.int64, len(edges))
     edges = edges.append_column("at", pa.array(known)).filter(pa.array(known >= 0))
@@ -102,8 +101,9 @@ def embed(
     Each round a node takes the weighted mean of its neighbours' vectors; the result is
     the weighted sum of the unit vectors of all rounds. Parallel edges are summed first. A round
     is a product of blocks: a vector goes once to each block its node has edges into, not along
-    every edge, and a target gets one partial sum from each block of sources. Each round is
-    written down, so neither a node with very many edges nor a lost executor holds it up.
+    every edge, and all edges of a target meet there. Each round is written down, so neither a node
+    with very many edges nor a lost executor holds it up; what was shuffled for it and the round
+    before go then, so the disk holds one round at a time.
     """
     links = durable(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
     to_unit = Normalizer(p=2.0, inputCol="mean", outputCol="unit")
@@ -111,9 +111,12 @@ def embed(
     # Node names are short and vectors long: partitions sized for the names would be too few.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = durable(nodes.select("node").distinct().repartition(parts, "node"))
-    cells, needs = _blocked(links, names.count())
-    state = names.select("node", random_row(F.col("node"), dimensions, seed).alias("vector"), zero.alias("total"))
-    place, kind = ["s", "d", "part"], links.schema["dst"].dataType.simpleString()
+    cells, needs = _blocked(links)
+    # The random rows are signs: a byte each on their way to the first round.
+    signs = random_row(F.col("node"), dimensions, seed).cast("array<tinyint>")
+    start = names.select("node", signs.alias("vector"), zero.alias("total"))
+    state = start
+    place, kind = ["block", "part"], links.schema["dst"].dataType.simpleString()
     for weight in round_weights:
         sent = skew_join(needs, state.select(F.col("node").alias("src"), "vector"), ["src"])
         partial = sent.groupBy(*place).cogroup(cells.toDF(*cells.columns).groupBy(*place)).applyInArrow(
@@ -130,5 +133,7 @@ def embed(
         )
         units = to_unit.transform(moved.withColumn("mean", array_to_vector("vector")))
         total = F.zip_with("total", vector_to_array("unit"), lambda a, b: a + weight * b)
-        state = durable(units.select("node", "vector", total.alias("total")))
+        before, state = state, written(units.select("node", "vector", total.alias("total")), "embedding")
+        if before is not start:
+            release(before)
     return state.select("node", F.col("total").cast("array<float>").alias("embedding"))
