@@ -309,3 +309,20 @@ def test_embedding_in_many_blocks_equals_one_and_keeps_one_round(spark, monkeypa
     assert len(list(folder.glob("embedding-*"))) == rounds + 1
     assert whole.keys() == again.keys() and all(np.allclose(whole[n], again[n], atol=1e-6) for n in whole)
     assert any(whole[n].any() for n in whole)
+
+
+def test_neighbors_send_a_row_once_to_a_bundle_of_leaves(spark, monkeypatch):
+    """Small leaves must not make a row travel to each of them."""
+    from venuelake.operators import neighbors
+
+    vectors = np.random.default_rng(5).normal(size=(400, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id int, embedding array<double>")
+    sent, compared = [], neighbors._compared
+    monkeypatch.setattr(neighbors, "_compared", lambda queries, routes, *rest: (sent.append(routes.count()), compared(queries, routes, *rest))[1])
+    got = {(r["id"], r["neighbor"]) for r in nearest(df, 3, tile_rows=20, max_pivots=4).collect()}
+    assert 400 <= sent[0] <= 4 * 400
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = np.round(units @ units.T, neighbors.DIGITS)
+    np.fill_diagonal(cosine, -np.inf)
+    best = np.argsort(-cosine, axis=1, kind="stable")[:, :3]
+    assert got == {(i, int(j)) for i in range(400) for j in best[i]}
