@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from venuelake.functions.geo import SPHERE_RADIUS_M
-from venuelake.operators import globe
+from venuelake.operators import globe, skew
 
 NOWHERE = [(None, 3.0), (3.0, None), (float("nan"), 3.0), (3.0, float("inf")), (90.5, 3.0)]
 
@@ -73,3 +73,20 @@ def test_plan_has_no_nested_loop(spark):
     a, b = _frame(spark, _points(6, 30), "a", ""), _frame(spark, _points(7, 20), "b", "ta_")
     plan = globe.within_distance(a, b.withColumn("n", F.lit(1)), 1000.0)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def _even(spark, n, key, prefix):
+    picks = random.Random(n)
+    return _frame(spark, [(picks.uniform(10, 12), picks.uniform(10, 12)) for _ in range(n)], key, prefix)
+
+
+def test_few_candidates_and_tasks_by_pairs(spark, monkeypatch):
+    """A join of few rows and many pairs is not left to one task, and meets few rows that are no partners."""
+    met = []
+    join = skew.skew_join_both
+    monkeypatch.setattr(globe, "skew_join_both", lambda *args, **options: met.append(join(*args, **options)) or met[0])
+    monkeypatch.setattr(skew, "PART_PAIRS", 5_000, raising=False)
+    pairs = globe.within_distance(_even(spark, 3000, "a", ""), _even(spark, 2900, "b", "ta_"), 10_000.0)
+    tasks = pairs.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) > 40_000 and len(tasks) > 8
+    assert met[0].count() < 4 * pairs.count()

@@ -60,10 +60,12 @@ def with_utm(
     return steps.select(*df.columns, F.inline(F.array(point)))
 
 
-def distance_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in metres between two points in degrees."""
-    a = (
-        F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
-        + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    )
+def distance_m(
+    lat1: Column, lon1: Column, lat2: Column, lon2: Column, across1: Column | None = None, across2: Column | None = None
+) -> Column:
+    """Great-circle distance in metres between two points in degrees; ``across``: the latitudes' cosines, if known."""
+    across1 = F.cos(F.radians(lat1)) if across1 is None else across1
+    across2 = F.cos(F.radians(lat2)) if across2 is None else across2
+    north, east = F.sin(F.radians(lat2 - lat1) / 2), F.sin(F.radians(lon2 - lon1) / 2)
+    a = F.pow(north, 2) + across1 * across2 * F.pow(east, 2)
     return 2 * SPHERE_RADIUS_M * F.asin(F.least(F.lit(1.0), F.sqrt(a)))

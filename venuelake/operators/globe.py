@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from math import pi, sin
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuelake.functions.geo import SPHERE_RADIUS_M, distance_m
@@ -14,7 +14,8 @@ from venuelake.operators.ranking import top_n
 from venuelake.operators.skew import skew_join_both
 from venuelake.session import durable
 
-CELL_CHORDS = 4
+#: The side of a cell in chords: a left point then meets 2.8 times its partners, and a right one goes to 12.7 cells.
+CELL_CHORDS = 1
 #: Half the way round: no two points are farther apart.
 FARTHEST_M = pi * SPHERE_RADIUS_M
 #: Metres by which a chord may be off for rounding; the test of pairs is by the distance itself.
@@ -35,11 +36,25 @@ def _placed(df: DataFrame, lat: str, lon: str, side: str) -> DataFrame:
         (SPHERE_RADIUS_M * across * F.cos(F.radians(longitude))).alias(f"_{side}x"),
         (SPHERE_RADIUS_M * across * F.sin(F.radians(longitude))).alias(f"_{side}y"),
         (SPHERE_RADIUS_M * F.sin(F.radians(latitude))).alias(f"_{side}z"),
-        latitude.alias(f"_{side}lat"), longitude.alias(f"_{side}lon"),
+        latitude.alias(f"_{side}lat"), longitude.alias(f"_{side}lon"), across.alias(f"_{side}across"),
     )
     return on_globe.select("*", F.inline(F.array(point)))
 
 
+def _reach(axes: tuple[str, ...], side: float, chord: float) -> Column:
+    """Whether the cell (_cx, _cy, _cz) holds a spot of the globe's surface within a chord of the right point."""
+    total = lambda parts: reduce(lambda x, y: x + y, [p * p for p in parts])
+    low = {n: F.col(f"_c{n}") * side for n in axes}
+    high = {n: (F.col(f"_c{n}") + 1) * side for n in axes}
+    none = F.lit(0.0)
+    apart = total(F.greatest(none, low[n] - F.col(f"_b{n}"), F.col(f"_b{n}") - high[n]) for n in axes)
+    inner = total(F.greatest(none, low[n], -high[n]) for n in axes)
+    outer = total(F.greatest(F.abs(low[n]), F.abs(high[n])) for n in axes)
+    return (
+        (apart <= chord**2) & (inner <= (SPHERE_RADIUS_M + SLACK_M) ** 2) & (outer >= (SPHERE_RADIUS_M - SLACK_M) ** 2)
+    )
+
+
 def within_distance(
     left: DataFrame,
     right: DataFrame,
@@ -51,8 +66,8 @@ def within_distance(
     """Pairs of rows less than ``radius`` metres apart along the great circle, with their distance.
 
     Points are given in degrees and may lie on both sides of the date line and around the poles. They meet in
-    an equi-join on cells of a grid in space, four chords wide: a left point lies in one cell, a right one is sent
-    to those within a chord of it, 3.4 on average, so a pair meets once. Cells with a large share of the points,
+    an equi-join on cells of a grid in space, a chord wide: a left point lies in one cell, a right one is sent
+    to those of the surface within a chord of it, so a pair meets once. Cells with a large share of the points,
     or that make too many pairs, are spread over several tasks. Rows without a point, with null, NaN or infinite
     degrees or a latitude beyond the poles, have no partner. All other column names of the two sides must differ.
     """
@@ -64,14 +79,18 @@ def within_distance(
     for n in axes:
         at = F.col(f"_b{n}")
         b = b.withColumn(f"_c{n}", F.explode(F.sequence(F.floor((at - chord) / side), F.floor((at + chord) / side))))
-    squared = reduce(lambda x, y: x + y, [(F.col(f"_a{n}") - F.col(f"_b{n}")) ** 2 for n in axes])
-    ends = [F.col(f"_{s}{n}") for s in "ab" for n in ("lat", "lon")]
+    b = b.where(_reach(axes, side, chord))
+    apart = [F.col(f"_a{n}") - F.col(f"_b{n}") for n in axes]
+    squared = reduce(lambda x, y: x + y, [d * d for d in apart])
+    metres = distance_m(*(F.col(f"_{s}{n}") for s in "ab" for n in ("lat", "lon")), F.col("_aacross"), F.col("_bacross"))
+    # Only where rounding can decide is the distance itself asked for.
+    certain = squared < max(0.0, chord - 2 * SLACK_M) ** 2
+    helpers = [*(f"_{s}{n}" for s in "abc" for n in axes), *(f"_{s}{n}" for s in "ab" for n in ("lat", "lon", "across"))]
     return (
-        skew_join_both(a, b, [f"_c{n}" for n in axes])
-        .where(squared < chord**2)
-        .withColumn(distance, distance_m(*ends))
-        .where(F.col(distance) < radius)
-        .drop(*(f"_{s}{n}" for s in "abc" for n in axes), *(f"_{s}{n}" for s in "ab" for n in ("lat", "lon")))
+        skew_join_both(a, b, [f"_c{n}" for n in axes], hint="merge")
+        .where((squared < chord**2) & (certain | (metres < radius)))
+        .withColumn(distance, metres)
+        .drop(*helpers)
     )
 
 
