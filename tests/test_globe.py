@@ -90,3 +90,15 @@ def test_few_candidates_and_tasks_by_pairs(spark, monkeypatch):
     tasks = pairs.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in tasks) > 40_000 and len(tasks) > 8
     assert met[0].count() < 4 * pairs.count()
+
+
+def test_first_ring_narrows_where_places_are_dense(spark, monkeypatch):
+    radii = []
+    join = globe.within_distance
+    monkeypatch.setattr(globe, "within_distance", lambda a, b, radius, *rest: radii.append(radius) or join(a, b, radius, *rest))
+    a, b = _even(spark, 200, "a", ""), _even(spark, 3001, "b", "ta_")
+    near = globe.nearest_places(a, b, 2, "a", "b", start=300_000.0)
+    assert near.count() == 2 * 200 and radii[0] < 30_000
+    firsts = {r.a: r.distance_m for r in near.where("rank = 1").collect()}
+    brute = join(a, b, 300_000.0).groupBy("a").agg(F.min("distance_m").alias("d")).collect()
+    assert firsts == {r.a: r.d for r in brute}

@@ -16,6 +16,9 @@ from venuelake.session import durable
 
 #: The side of a cell in chords: a left point then meets 2.8 times its partners, and a right one goes to 12.7 cells.
 CELL_CHORDS = 1
+#: Places that share a cell as wide as the first ring, for each one asked for; with more, the ring is drawn closer.
+CROWD = 4
+NEAREST_RING_M = 1.0
 #: Half the way round: no two points are farther apart.
 FARTHEST_M = pi * SPHERE_RADIUS_M
 #: Metres by which a chord may be off for rounding; the test of pairs is by the distance itself.
@@ -94,6 +97,18 @@ def within_distance(
     )
 
 
+def _first_ring(places: DataFrame, point: tuple[str, str], k: int, widest: float, growth: float) -> float:
+    """The first ring's radius: so small that a place shares its cell with ``CROWD * k`` places at most, on average."""
+    radius = min(widest, FARTHEST_M)
+    while radius > NEAREST_RING_M:
+        cells = _placed(places, *point, "b").groupBy(*(F.floor(F.col(f"_b{n}") / radius) for n in "xyz")).count()
+        around = cells.agg(F.sum(F.col("count").cast("double") ** 2) / F.sum("count")).first()[0]
+        if around is None or around <= CROWD * k:
+            break
+        radius /= growth
+    return radius
+
+
 def nearest_places(
     left: DataFrame,
     right: DataFrame,
@@ -108,15 +123,15 @@ def nearest_places(
 ) -> DataFrame:
     """The ``k`` right rows nearest to each left row: (left_id, rank, right_id, distance), ties to the smaller id.
 
-    Rings grow around the left points: who finds ``k`` places nearer than ``start`` metres is done, the others
-    look ``growth`` times as far, until everyone is done or the whole globe has been searched, after at most
+    Rings grow around the left points: who finds ``k`` places nearer than ``start`` metres, or less if places stand
+    close, is done, the others look ``growth`` times as far, until everyone is done or the whole globe has been searched, after at most
     log(20,000 km / start) / log(growth) rounds. So no left row meets all places unless fewer than ``k`` lie in all
     smaller rings. Of places on one spot only the ``k`` smallest ids take part. ``left_id`` must be unique;
     left rows without a point have no result, and all have fewer than ``k`` if there are fewer places.
     """
     points = left.select(left_id, *left_point)
     spots = durable(top_n(right.select(right_id, *right_point), [*right_point], [right_id], k, "_of_spot").drop("_of_spot"))
-    searching, found, radius = durable(points), [], start
+    searching, found, radius = durable(points), [], _first_ring(spots, right_point, k, start, growth)
     while True:
         whole = radius >= FARTHEST_M
         pairs = within_distance(
