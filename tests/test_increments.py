@@ -87,6 +87,16 @@ def test_only_differing_buckets_are_replaced(spark, table):
     assert buckets.read(spark, table).count() == 400
 
 
+def test_changed_buckets_are_moved_not_written_again(spark, table, monkeypatch):
+    monkeypatch.setattr(buckets, "finish", lambda *_: None)
+    touched = buckets.upsert(table, spark.createDataFrame([(3, 7, "new")], "key long, value long, kind string"))
+    monkeypatch.undo()
+    waiting = {os.path.relpath(f, table.pending) for f in files(table.pending)}
+    buckets.finish(spark, table)
+    there = {os.path.relpath(f, table.path) for f in in_buckets(files(table.path), touched)}
+    assert there == waiting and there and not os.path.exists(table.pending)
+
+
 def test_keys_must_contain_those_of_the_bucket(spark, table):
     with pytest.raises(ValueError):
         buckets.upsert(table, spark.createDataFrame([(1, 2, "x")], "key long, value long, kind string"), ["value"])

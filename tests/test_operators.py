@@ -326,3 +326,12 @@ def test_neighbors_send_a_row_once_to_a_bundle_of_leaves(spark, monkeypatch):
     np.fill_diagonal(cosine, -np.inf)
     best = np.argsort(-cosine, axis=1, kind="stable")[:, :3]
     assert got == {(i, int(j)) for i in range(400) for j in best[i]}
+
+
+def test_rows_of_a_table_are_numbered_with_one_shuffle(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"), F.lit("wide").alias("y"))
+    numbered = rank_rows(df, [], ["-x"], [], row_number="n")
+    assert numbered.where("n <> 5000 - x").count() == 0 and numbered.count() == 5000
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    scan = numbered.inputFiles()
+    assert scan and "SortMergeJoin" not in plan and plan.count("Window") <= 2
