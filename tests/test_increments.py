@@ -131,6 +131,19 @@ def test_days_replace_their_states_and_leave_other_months(spark, tmp_path):
     assert increments.add_days(spark, folder, swipes.limit(0), images, names) == []
 
 
+def test_states_of_scattered_visitors_are_small(spark):
+    """A visitor among keys that lie far apart takes a row of numbers, not a bitmap of all keys near it."""
+    keys = F.col("id") * 40_000 - 20_000_000
+    swipes = spark.range(1000).select("id", keys.alias("userId"), F.lit(1).alias("imageId"), F.lit(datetime(2024, 1, 2)).alias("timestamp"), F.lit(1).alias("swipeLeft"))
+    twice = swipes.union(swipes).union(swipes.limit(1).withColumn("userId", F.lit(-20_000_001)))
+    images = spark.createDataFrame([(1, 7)], "id long, restaurantId long")
+    states = increments.day_states(twice, images)
+    assert {f.dataType.typeName() for f in states.schema} <= {"long", "integer", "date"}
+    assert states.count() == 1001
+    assert increments.daily_from_states(states).collect() == marts.daily_stats(twice, images).select("restaurantId", "date", "users", "impressions", "left_swipes").collect()
+    assert [r.visitors for r in increments.visitors_from_states(states).collect()] == [1001]
+
+
 def test_files_are_read_once(spark, tmp_path):
     landing, seen = str(tmp_path / "landing"), []
     take = lambda: arrivals.read_arrivals(

@@ -1,7 +1,7 @@
 """Marts kept up to date from states that can be merged: a new or late day costs its own swipes.
 
-The state of a restaurant's day is its exact set of visitors, as bitmaps over user keys, with the
-sums of impressions and left swipes. States lie in one folder per month; a day that comes again
+The state of a restaurant's day is its exact set of visitors, as words of 64 user keys, with the
+sums of impressions and left swipes: never more rows than swipes, and few where visitors are many. States lie in one folder per month; a day that comes again
 replaces its own states there. Days and months of a restaurant are put together from states, so the
 swipes behind them are not read again, and only the months of new days are built anew.
 """
@@ -20,16 +20,19 @@ PART = "state_month"
 
 
 def day_states(swipes: DataFrame, images: DataFrame) -> DataFrame:
-    """Rows (restaurantId, date, user_bucket, users, impressions, left_swipes, state_month).
+    """Rows (restaurantId, date, user_word, users, impressions, left_swipes, state_month).
 
-    ``users`` is the bitmap of the visitors whose keys fall into the bucket (32,768 keys each); it
-    is combined in the map tasks, so a much-visited day sends one bitmap per task and bucket. Swipes without a user count as impressions only.
+    ``users`` has a bit for each visitor whose key falls into the word (64 keys each); it is combined in the map
+    tasks. A row is as small for a single visitor as for 64, so states do not outgrow the swipes when user keys
+    lie far apart. Swipes without a user count as impressions only.
     """
     rows = marts.restaurant_swipes(swipes, images)
+    key = F.col("userId").cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), key.bitwiseAND(F.lit(63)).cast("int"))
     return (
-        rows.groupBy("restaurantId", "date", F.bitmap_bucket_number("userId").alias("user_bucket"))
+        rows.groupBy("restaurantId", "date", F.shiftright(key, 6).alias("user_word"))
         .agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("userId")).alias("users"),
+            F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("users"),
             F.count("swipeLeft").alias("impressions"), F.sum("swipeLeft").alias("left_swipes"),
         )
         .withColumn("state_month", F.date_format("date", "yyyyMM").cast("int"))
@@ -45,17 +48,17 @@ def _replace(rows: DataFrame, path: str) -> None:
 def daily_from_states(states: DataFrame) -> DataFrame:
     """Visitors, impressions and left swipes by restaurant and day, as ``marts.daily_stats``."""
     return states.groupBy("restaurantId", "date").agg(
-        F.sum(F.bitmap_count("users")).alias("users"), F.sum("impressions").alias("impressions"),
+        F.sum(F.bit_count("users").cast("bigint")).alias("users"), F.sum("impressions").alias("impressions"),
         F.sum("left_swipes").alias("left_swipes"),
     )
 
 
 def visitors_from_states(states: DataFrame) -> DataFrame:
-    """Distinct visitors by restaurant and month: the days' bitmaps are merged before they are counted."""
-    merged = states.groupBy("restaurantId", month(F.col("date")).alias("month"), "user_bucket", "state_month").agg(
-        F.bitmap_or_agg("users").alias("users")
+    """Distinct visitors by restaurant and month: the days' words are merged before they are counted."""
+    merged = states.groupBy("restaurantId", month(F.col("date")).alias("month"), "user_word", "state_month").agg(
+        F.bit_or("users").alias("users")
     )
-    return merged.groupBy("restaurantId", "month", "state_month").agg(F.sum(F.bitmap_count("users")).alias("visitors"))
+    return merged.groupBy("restaurantId", "month", "state_month").agg(F.sum(F.bit_count("users").cast("bigint")).alias("visitors"))
 
 
 def add_days(spark: SparkSession, folder: str, swipes: DataFrame, images: DataFrame, restaurants: DataFrame) -> list[int]:
