@@ -117,6 +117,29 @@ def test_jaccard_of_many_near_copies(spark, monkeypatch, part):
     assert [found[k] for k in range(len(texts))] == root
 
 
+def test_jaccard_pairs_grow_with_the_documents(spark, monkeypatch):
+    """Many copies of a text, each with edits of its own, and texts with one line in common: few pairs that come to nothing."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(120):
+        words = [f"t{j}" for j in range(150)]
+        for at in rng.choice(150, k % 9, replace=False):
+            words[at] = f"e{rng.integers(0, 10**6)}"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"line{j}" for j in range(12)) + " " + " ".join(f"u{k}x{j}" for j in range(60)) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    near = [[b for b in range(len(sets)) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])] for a in range(len(sets))]
+    root, before = list(range(len(texts))), None
+    while root != before:
+        before, root = root, [min(root[b] for b in near[a]) for a in range(len(sets))]
+    pairs, possible = [], jaccard._possible
+    monkeypatch.setattr(jaccard, "_possible", lambda p, *given: pairs.append(p.count()) or possible(p, *given))
+    found = {r.doc_id: r.component_id for r in jaccard.link_documents(docs).collect()}
+    assert [found[k] for k in range(len(texts))] == root
+    assert sum(pairs) < 4 * len(texts)
+
+
 @pytest.mark.parametrize("hot", [4, 20])
 def test_jaccard_of_hot_tokens(spark, monkeypatch, hot):
     """A token of many documents meets no single task, and groups are those found with all in one."""
