@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from math import log, log10
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
@@ -140,6 +142,17 @@ def test_jaccard_pairs_grow_with_the_documents(spark, monkeypatch):
     assert sum(pairs) < 4 * len(texts)
 
 
+def test_model_keeps_no_more_than_scores_need(spark, monkeypatch):
+    """When texts are scored, the sequences' counts and contexts are off the disk, and the sums meet the tree in shares."""
+    docs = spark.createDataFrame([(k, f"a b c d e{k % 3} a b c") for k in range(40)], "doc_id long, text string")
+    made, write = defaultdict(list), language_model.written
+    monkeypatch.setattr(language_model, "written", lambda df, name: made[name].append(write(df, name)) or made[name][-1])
+    assert language_model.score_documents(docs).where("score < 0").count() == 40
+    there = lambda table: all(Path(urlparse(f).path).exists() for f in table.inputFiles())
+    assert not any(there(t) for name in ("model-level", "model-pairs") for t in made[name])
+    assert len(made["model-sums"]) > 1 and there(made["model-nodes"][0])
+
+
 @pytest.mark.parametrize("hot", [4, 20])
 def test_jaccard_of_hot_tokens(spark, monkeypatch, hot):
     """A token of many documents meets no single task, and groups are those found with all in one."""

@@ -19,6 +19,7 @@ not depend on either. Words and sequences are 64-bit hashes throughout.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import islice
 from typing import NamedTuple
 
@@ -42,6 +43,8 @@ FOLDS, HELD_OUT = 7, 2
 END = np.uint64(1)
 #: Entries a task sums up before it passes them on.
 HELD_ENTRIES = 2_000_000
+#: Shares of the sequences, by key, that meet the tree one after the other: the disk holds the shuffle of one.
+ROUNDS = 3
 #: Slots, as a power of two, of the sketch of the tree's sequences: 16 MB at any size of the corpus.
 SKETCH_BITS = 27
 _CODE_BITS = np.int64(20)
@@ -202,9 +205,12 @@ def learn(docs: DataFrame) -> tuple[Tree, Tables]:
     words = written(_weighed(counts, first), "model-weights")
     grown, pairs = pairs, written(_weighed(pairs, second), "model-pairs")
     release(counts, grown, first, second)
-    nodes = pairs.select("key", (F.col("gain") + F.col("alpha")).alias("value")).union(
-        triples.select("key", F.col("gain").alias("value"))
-    ).where("value <> 0")
+    nodes = written(
+        pairs.select("key", (F.col("gain") + F.col("alpha")).alias("value")).union(
+            triples.select("key", F.col("gain").alias("value"))
+        ).where("value <> 0"),
+        "model-nodes",
+    )
 
     # At most 1 / LOOKUP_SHARE rows.
     known = words.where(F.col("count") >= max(1.0, LOOKUP_SHARE * tokens)).toPandas()
@@ -214,6 +220,8 @@ def learn(docs: DataFrame) -> tuple[Tree, Tables]:
     symbols = held[times >= least]
     # At most 1 / STATE_SHARE pairs and as many triples.
     two, three = (t.where(F.col("count") >= least).toPandas() for t in (pairs, triples))
+    # Scores need no more of them than the nodes.
+    release(pairs, triples)
     hashes = lambda frame, name: frame[name].to_numpy(np.int64).view(np.uint64)
     packed = _pack(find(symbols, hashes(two, "context")), find(symbols, hashes(two, "lower")))
     by_key = np.argsort(hashes(two, "key"))
@@ -403,7 +411,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     scanned = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(scan, columns), "model-scan")
     apart = scanned.select("row", F.explode("apart").alias("key"))
-    met = written(apart.join(tables.nodes, "key").groupBy("row").agg(F.sum("value").alias("met")), "model-sums")
+    of = lambda df, k: df.where(F.pmod("key", F.lit(ROUNDS)) == k)
+    sums = [
+        written(of(apart, k).join(of(tables.nodes, k), "key").groupBy("row").agg(F.sum("value").alias("met")), "model-sums")
+        for k in range(ROUNDS)
+    ]
+    met = reduce(DataFrame.union, sums).groupBy("row").agg(F.sum("met").alias("met"))
     n, v = tree.tokens, tree.types
     unseen = np.log10((1 - tree.discount) / n) if n else 0.0
     others = scanned.select("row", F.explode("others").alias("key"))
