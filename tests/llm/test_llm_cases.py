@@ -142,6 +142,33 @@ def test_jaccard_pairs_grow_with_the_documents(spark, monkeypatch):
     assert sum(pairs) < 4 * len(texts)
 
 
+def test_jaccard_asks_parts_not_pairs():
+    """Many classes alike but in no group: rows follow the classes and the parts they ask, with all that a pair shares counted."""
+    classes, tokens = np.arange(96), np.arange(40, dtype=np.int64) * 7919
+    token, cls = np.repeat(tokens, 96), np.tile(classes, 40)
+    bucket = pa.table({
+        "token": token, "cls": cls, "size": np.full(len(cls), 100, np.int32), "grp": cls, "several": np.full(len(cls), 40),
+        "last": np.ones(len(cls), np.int64), "members": np.ones(len(cls), np.int64), "part": cls // 32,
+    })
+    asked = jaccard._asked(bucket, 75).to_pylist()
+    assert len(asked) <= 96 * 3 and {r["shared"] for r in asked} == {40}
+    # Every pair is asked by one of both, and 86 of 100 tokens in common need 12 among the first, as 74 may follow.
+    assert {(a, b) for a in range(96) for b in range(3) if any(c > a for c in range(32 * b, 32 * b + 32))} == {
+        (r["cls"], r["part"]) for r in asked
+    }
+    assert {r["need"] for r in asked} == {86 - 74}
+
+
+def test_jaccard_tokens_of_copies_share_a_place():
+    """Tokens that the same class leads meet in one bucket, so a pair of its copies is counted there once."""
+    token = np.repeat(np.arange(30, dtype=np.uint64) * np.uint64(7919), 20)
+    cls, usual = np.tile(np.arange(20), 30), np.tile(np.arange(20, dtype=np.uint16), 30)
+    bucket = {"token": token, "cls": cls, "size": np.full(600, 100, np.int32), "usual": usual}
+    table = pa.table({name: pa.array([column.tobytes()], pa.binary()) for name, column in bucket.items()})
+    places = [r["place"] for r in jaccard._shared(table, 75).to_pylist() if r["token"] is not None]
+    assert len(places) == 600 and len(set(places)) == 1
+
+
 def test_model_keeps_no_more_than_scores_need(spark, monkeypatch):
     """When texts are scored, the sequences' counts and contexts are off the disk, and the sums meet the tree in shares."""
     docs = spark.createDataFrame([(k, f"a b c d e{k % 3} a b c") for k in range(40)], "doc_id long, text string")
