@@ -40,3 +40,10 @@ def test_query(spark, name):
 @pytest.mark.parametrize("name", SKEWED)
 def test_query_with_hot_keys(spark, many_hot_keys, name):
     assert differences(QUERIES[name](spark, FOLDER), FOLDER, ORACLES[name]) is None
+
+
+def test_most_orders_have_their_items_replaced(spark):
+    rows = QUERIES["bucket_replace_groups"](spark, FOLDER)
+    replaced = rows.where("l_linenumber = 0").select("l_orderkey").distinct().count()
+    kept = rows.where("l_linenumber > 0").select("l_orderkey").distinct().count()
+    assert replaced > kept > 0
