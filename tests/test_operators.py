@@ -335,3 +335,14 @@ def test_rows_of_a_table_are_numbered_with_one_shuffle(spark):
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     scan = numbered.inputFiles()
     assert scan and "SortMergeJoin" not in plan and plan.count("Window") <= 2
+
+
+def test_what_is_known_of_a_neighbor_trees_rows_does_not_grow_with_its_levels(spark):
+    from venuelake.operators import neighbors
+
+    picks = np.random.default_rng(3).normal(size=(200, 4))
+    units = picks / np.linalg.norm(picks, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(units)], "rep int, vec array<double>")
+    rows, levels = neighbors._tree(df, k=2, tile_rows=10, fanout=3, frame_rows=20)
+    assert len(levels) > 2
+    assert [x._jdf.queryExecution().optimizedPlan().constraints().size() for x in (rows, *levels)] == [0] * (len(levels) + 1)
