@@ -346,3 +346,34 @@ def test_what_is_known_of_a_neighbor_trees_rows_does_not_grow_with_its_levels(sp
     rows, levels = neighbors._tree(df, k=2, tile_rows=10, fanout=3, frame_rows=20)
     assert len(levels) > 2
     assert [x._jdf.queryExecution().optimizedPlan().constraints().size() for x in (rows, *levels)] == [0] * (len(levels) + 1)
+
+
+@pytest.mark.parametrize("loose", [None, 1.0, 1.3])
+def test_comparison_makes_few_double_products(loose, monkeypatch):
+    """Of 400 others only those that may be among a row's five are compared in double precision."""
+    import pyarrow as pa
+
+    from venuelake.operators import neighbors
+
+    vectors = np.random.default_rng(4).normal(size=(400, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = np.round(vectors @ vectors.T, 6)
+    np.fill_diagonal(cosine, -np.inf)
+    rows = pa.table({"rep": np.arange(400), "vec": pa.array(list(vectors), pa.list_(pa.float64())), "cell": np.arange(400) % 30})
+    limits = None if loose is None else loose * np.sqrt(2 - 2 * np.sort(cosine, axis=1)[:, -5])
+    compared, einsum = [], np.einsum
+    monkeypatch.setattr(neighbors.np, "einsum", lambda how, a, b: compared.append(len(a)) or einsum(how, a, b))
+    got = neighbors._best(rows, rows, 5, limits).to_pylist()
+    order = np.argsort(-cosine, axis=1, kind="stable")[:, :5]
+    assert [(r["rep"], r["other"], r["cosine"]) for r in got] == [(i, j, cosine[i, j]) for i in range(400) for j in order[i]]
+    assert 2000 <= sum(compared) < 20 * 400 + 400
+
+
+def test_a_neighbor_tree_has_no_more_cells_than_its_rows_ask_for(spark):
+    from venuelake.operators import neighbors
+
+    picks = np.random.default_rng(6).normal(size=(300, 4))
+    units = picks / np.linalg.norm(picks, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(units)], "rep int, vec array<double>")
+    rows, levels = neighbors._tree(df, k=2, tile_rows=100, fanout=64, frame_rows=100)
+    assert levels[0].count() == 6 and rows.select("bundle").distinct().count() < 12
