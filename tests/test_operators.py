@@ -377,3 +377,16 @@ def test_a_neighbor_tree_has_no_more_cells_than_its_rows_ask_for(spark):
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(units)], "rep int, vec array<double>")
     rows, levels = neighbors._tree(df, k=2, tile_rows=100, fanout=64, frame_rows=100)
     assert levels[0].count() == 6 and rows.select("bundle").distinct().count() < 12
+
+
+def test_only_nodes_with_edges_take_part_in_a_round(spark):
+    """Nodes without edges are not in the rounds' tables, and a round's sums go with it."""
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, weight double")
+    nodes = spark.range(50).select(F.concat(F.lit("z"), "id").alias("node")).union(edges.select("src"))
+    got = embed(nodes, edges, 16)
+    files = [Path(f.removeprefix("file:")) for f in got.inputFiles()]
+    tables = {f.parent for f in files if f.parent.name.startswith("embedding-")}
+    assert len(tables) == 1 and spark.read.parquet(str(*tables)).count() == 2
+    assert not list(next(iter(tables)).parent.glob("sums-*"))
+    rows = {r["node"]: r["embedding"] for r in got.collect()}
+    assert len(rows) == 52 and any(rows["a"]) and not any(any(rows[f"z{i}"]) for i in range(50))

@@ -54,12 +54,12 @@ def _blocked(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     blocks = max(1, -(-links.count() // BLOCK_EDGES))
     own = links.withColumn("block", F.pmod(F.xxhash64("dst"), F.lit(blocks)).cast("int"))
-    counts = durable(
-        own.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PART_EDGES).cast("int").alias("cuts"))
+    counts = written(
+        own.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PART_EDGES).cast("int").alias("cuts")), "cuts"
     )
     cut = F.pmod(F.xxhash64("src", F.lit(1)), "cuts").cast("int")
-    edges = durable(skew_join(own, counts, ["block"]).select("src", "dst", "weight", "block", cut.alias("part")))
-    return edges, durable(edges.select("src", "block", "part").distinct())
+    edges = written(skew_join(own, counts, ["block"]).select("src", "dst", "weight", "block", cut.alias("part")), "edges")
+    return edges, written(edges.select("src", "block", "part").distinct(), "needs")
 
 
 def _multiplied(vectors: pa.Table, edges: pa.Table) -> pa.Table:
@@ -101,16 +101,18 @@ def embed(
     Each round a node takes the weighted mean of its neighbours' vectors; the result is
     the weighted sum of the unit vectors of all rounds. Parallel edges are summed first. A round
     is a product of blocks: a vector goes once to each block its node has edges into, not along
-    every edge, and all edges of a target meet there. Each round is written down, so neither a node
-    with very many edges nor a lost executor holds it up; what was shuffled for it and the round
-    before go then, so the disk holds one round at a time.
+    every edge, and all edges of a target meet there. The sums of a round are written down, then the round, so neither a node
+    with very many edges nor a lost executor holds it up; what was shuffled for either and the round
+    before go then, so the disk holds half a round at a time. Only nodes with edges take part.
     """
-    links = durable(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
+    links = written(edges.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "links")
     to_unit = Normalizer(p=2.0, inputCol="mean", outputCol="unit")
     zero = F.array_repeat(F.lit(0.0), dimensions)
     # Node names are short and vectors long: partitions sized for the names would be too few.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = durable(nodes.select("node").distinct().repartition(parts, "node"))
+    every = written(nodes.select("node").distinct(), "nodes")
+    linked = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
+    names = durable(every.join(linked, "node", "left_semi").repartition(parts, "node"))
     cells, needs = _blocked(links)
     # The random rows are signs: a byte each on their way to the first round.
     signs = random_row(F.col("node"), dimensions, seed).cast("array<tinyint>")
@@ -119,8 +121,11 @@ def embed(
     place, kind = ["block", "part"], links.schema["dst"].dataType.simpleString()
     for weight in round_weights:
         sent = skew_join(needs, state.select(F.col("node").alias("src"), "vector"), ["src"])
-        partial = sent.groupBy(*place).cogroup(cells.toDF(*cells.columns).groupBy(*place)).applyInArrow(
-            _multiplied, f"dst {kind}, sum array<double>, weight double"
+        partial = written(
+            sent.groupBy(*place).cogroup(cells.toDF(*cells.columns).groupBy(*place)).applyInArrow(
+                _multiplied, f"dst {kind}, sum array<double>, weight double"
+            ),
+            "sums",
         )
         means = partial.groupBy("dst").agg(
             Summarizer.sum(array_to_vector("sum")).alias("sum"), F.sum("weight").alias("weight")
@@ -134,6 +139,6 @@ def embed(
         units = to_unit.transform(moved.withColumn("mean", array_to_vector("vector")))
         total = F.zip_with("total", vector_to_array("unit"), lambda a, b: a + weight * b)
         before, state = state, written(units.select("node", "vector", total.alias("total")), "embedding")
-        if before is not start:
-            release(before)
-    return state.select("node", F.col("total").cast("array<float>").alias("embedding"))
+        release(*[table for table in (partial, before) if table is not start])
+    alone = every.join(names, "node", "left_anti").select("node", zero.alias("total"))
+    return state.select("node", "total").unionByName(alone).select("node", F.col("total").cast("array<float>").alias("embedding"))
