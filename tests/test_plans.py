@@ -3,6 +3,7 @@ from __future__ import annotations
 import struct
 import zlib
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,3 +284,16 @@ def test_workers_find_the_package_from_another_folder(tmp_path):
     )
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "found 2" in done.stdout, done.stderr[-2000:]
+
+
+def test_jobs_leave_only_their_lake(spark):
+    """Scratch tables of a job go with it; those of its caller stay."""
+    from checks import queries
+    from venuelake.session import scratch_path, written
+
+    mine = written(spark.range(3), "mine")
+    folder = Path(scratch_path(spark, "x")).parent
+    before = {p.name for p in folder.iterdir()}
+    lake = Path(queries._details_twice(spark, "/root/testdata/sf0.001"))
+    assert {p.name for p in folder.iterdir()} - before == {lake.name} and mine.count() == 3
+    assert any(lake.iterdir())
